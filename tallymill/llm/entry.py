@@ -17,5 +17,11 @@ def p2_exchanges(spark, sf_dir):
     return collapse_copies(table(spark, sf_dir, "cluster_demo"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges}
+def p7_ids(spark, sf_dir):
+    from tallymill.llm.tokenize import token_ids
+
+    return token_ids(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p7_ids": p7_ids}
 SQL: dict[str, str] = {}
