@@ -23,5 +23,11 @@ def p7_ids(spark, sf_dir):
     return token_ids(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p7_ids": p7_ids}
+def p9_found(spark, sf_dir):
+    from tallymill.llm.sentences import sentence_units
+
+    return sentence_units(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p7_ids": p7_ids, "p9_found": p9_found}
 SQL: dict[str, str] = {}
