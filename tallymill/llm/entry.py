@@ -29,5 +29,11 @@ def p9_found(spark, sf_dir):
     return sentence_units(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p7_ids": p7_ids, "p9_found": p9_found}
+def p8_found(spark, sf_dir):
+    from tallymill.llm.leaks import found_leaks
+
+    return found_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
