@@ -35,5 +35,17 @@ def p8_found(spark, sf_dir):
     return found_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+def p5_found(spark, sf_dir):
+    from tallymill.llm.personal import find_personal
+
+    return find_personal(table(spark, sf_dir, "cluster_demo"))
+
+
+def p5_redacted(spark, sf_dir):
+    from tallymill.llm.personal import redact_personal
+
+    return redact_personal(table(spark, sf_dir, "cluster_demo"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
