@@ -17,6 +17,12 @@ def p2_exchanges(spark, sf_dir):
     return collapse_copies(table(spark, sf_dir, "cluster_demo"))
 
 
+def p6_found(spark, sf_dir):
+    from tallymill.llm.pairs import find_defects
+
+    return find_defects(table(spark, sf_dir, "cluster_demo"))
+
+
 def p7_ids(spark, sf_dir):
     from tallymill.llm.tokenize import token_ids
 
@@ -47,5 +53,5 @@ def p5_redacted(spark, sf_dir):
     return redact_personal(table(spark, sf_dir, "cluster_demo"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p5_found": p5_found, "p5_redacted": p5_redacted, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p5_found": p5_found, "p5_redacted": p5_redacted, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
