@@ -5,6 +5,18 @@ from __future__ import annotations
 from tallymill.session import table
 
 
+def p1_found(spark, sf_dir):
+    from tallymill.llm.near import found_near
+
+    return found_near(table(spark, sf_dir, "cluster_demo"), table(spark, sf_dir, "neardup_pairs"))
+
+
+def p1_groups(spark, sf_dir):
+    from tallymill.llm.near import near_groups
+
+    return near_groups(table(spark, sf_dir, "cluster_demo")).selectExpr("rid AS line_no", "grp", "copy")
+
+
 def p2_found(spark, sf_dir):
     from tallymill.llm.copies import found_copies
 
@@ -53,5 +65,5 @@ def p5_redacted(spark, sf_dir):
     return redact_personal(table(spark, sf_dir, "cluster_demo"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_exchanges": p2_exchanges, "p5_found": p5_found, "p5_redacted": p5_redacted, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_exchanges": p2_exchanges, "p5_found": p5_found, "p5_redacted": p5_redacted, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
