@@ -21,13 +21,13 @@ from tallymill.functions.bitmap import hits, member_bits
 from tallymill.functions.text import fold, squeeze
 from tallymill.session import materialize
 
-_SEPARATORS = (r"\s*\n\s*", r"\s*\|\s*", r"\s*;\s*", r"\s*·\s*", r"\s*/\s+", r"\s*,\s+")
+_SEPARATORS = ("\n", "|", ";", "·", " / ", ", ", ",\n")
 _NAMED = re.compile(r"^[\s\-–—•*{\"'“«]*([^\W\d_][^:=\n|;]{0,40}?)[\s\"'”»]*(?::|=)\s*(.*)$", re.S)
 
 
 def named_fields(text: str | None) -> list[tuple[str, str]] | None:
     """Squeezed (name, value) fields of a JSON object or of name-value fields one after the other; None if it is neither."""
-    if not text or (":" not in text and "=" not in text):
+    if not text or text.count(":") + text.count("=") < 2:
         return None
     body = text.strip().strip("﻿​")
     if body.startswith("{") and body.endswith("}"):
@@ -39,11 +39,18 @@ def named_fields(text: str | None) -> list[tuple[str, str]] | None:
             pass
         body = body[1:-1]
     for separator in _SEPARATORS:
-        parts = [p for p in re.split(separator, body) if p and squeeze(p)]
-        if len(parts) < 2:
+        if separator not in body:
             continue
-        got = [_NAMED.match(p) for p in parts]
-        if all(got):
+        got = []
+        for part in body.split(separator):
+            if part.strip():
+                m = _NAMED.match(part)
+                if m is None and not squeeze(part):
+                    continue
+                got.append(m)
+                if m is None:
+                    break
+        if len(got) > 1 and got[-1] is not None:
             return [(squeeze(fold(m[1])), squeeze(fold(m[2]))) for m in got]
     return None
 
