@@ -53,6 +53,13 @@ def p8_found(spark, sf_dir):
     return found_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p4_subset(spark, sf_dir):
+    from tallymill.llm.varied import varied_subset
+
+    rows = table(spark, sf_dir, "cluster_demo")
+    return varied_subset(rows, max(200, rows.count() // 50))
+
+
 def p5_found(spark, sf_dir):
     from tallymill.llm.personal import find_personal
 
@@ -65,5 +72,5 @@ def p5_redacted(spark, sf_dir):
     return redact_personal(table(spark, sf_dir, "cluster_demo"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_exchanges": p2_exchanges, "p5_found": p5_found, "p5_redacted": p5_redacted, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_exchanges": p2_exchanges, "p4_subset": p4_subset, "p5_found": p5_found, "p5_redacted": p5_redacted, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 SQL: dict[str, str] = {}
