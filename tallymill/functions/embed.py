@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIM, NGRAM_MIN, NGRAM_MAX = 512, 3, 5
 
@@ -61,7 +62,7 @@ def embed(texts: list[str | None], dim: int = DIM) -> np.ndarray:
     return np.divide(out, norm, out=out, where=norm > 0)
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
 def embed_col(texts: pa.Array) -> pa.Array:
     rows = embed(texts.to_pylist())
     return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, DIM, dtype=np.int32)), pa.array(rows.reshape(-1)))

@@ -5,11 +5,12 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymill.functions.timestamps import CANONICAL, to_utc
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _utc(ts: pa.Array, zone: pa.Array, order: pa.Array) -> pa.Array:
     return to_utc(ts, zone, order)
 
