@@ -1,7 +1,7 @@
 """Evaluation passages inside training text (problem 8): rare n-gram seeds, then Smith-Waterman alignment of words.
 
-The n-grams of the test items are counted over the whole corpus in one pass; the rarer half of each item's n-grams are
-its seeds. A second pass looks every document up in them, and each (document, item) with enough seeds is aligned word by
+The n-grams of the test items are counted over the whole corpus in one pass; the rarer half of the n-grams in each
+stretch of an item are its seeds, so that a part that leaks often isn't outdone by parts that never occur. A second pass looks every document up in them, and each (document, item) with enough seeds is aligned word by
 word around its seeds. The item's share inside the best one or two passages decides.
 """
 
@@ -19,8 +19,11 @@ from tallymill.functions.text import fold, words
 GRAM = 3
 MIN_SEEDS = 4
 MIN_SHARE = 0.5
+STRETCHES = 8
 MIN_GRAM_SHARE = 0.22
-MIN_SEED_SHARE = 0.12
+MIN_RUNS_SHARE = 0.26
+MIN_RUN = 5
+_BAND = 12
 SECOND_WORDS = 10
 ITEMS_AT_ONCE = 5_000
 _MATCH, _MISS, _GAP = 2, -2, -2
@@ -61,17 +64,21 @@ class ItemIndex:
                 codes.append(code)
             self.ids.append(item)
             self.words.append(np.array(codes, dtype=np.int64))
-        owner, keys = [], []
+        owner, keys, stretch, place = [], [], [], []
         for k, codes in enumerate(self.words):
-            g = np.unique(self.grams(codes))
+            g, at = np.unique(self.grams(codes), return_index=True)
             owner.append(np.full(len(g), k, dtype=np.int64))
             keys.append(g)
+            stretch.append(at * STRETCHES // max(1, len(codes) - GRAM + 1))
+            place.append(at)
         self.n_grams = np.array([len(k) for k in keys], dtype=np.int64)
         every = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
         who = np.concatenate(owner) if owner else np.zeros(0, dtype=np.int64)
         order = np.argsort(every, kind="stable")
         self.keys, first = np.unique(every[order], return_index=True)
         self.owner = who[order]
+        self.stretch = (np.concatenate(stretch) if stretch else np.zeros(0, dtype=np.int64))[order]
+        self.place = (np.concatenate(place) if place else np.zeros(0, dtype=np.int64))[order]
         self.first = np.append(first, len(every))
         self.rare = np.ones(len(every), dtype=bool)
 
@@ -103,12 +110,15 @@ class ItemIndex:
         return hit, at[hit]
 
     def weigh(self, df: np.ndarray) -> None:
-        """Marks the rarer half of each item's n-grams as its seeds."""
+        """Marks the rarer half of the n-grams that occur at all in each stretch of each item as its seeds."""
         counts = np.repeat(df, np.diff(self.first))
-        order = np.lexsort((counts, self.owner))
-        rank = np.arange(len(order)) - np.repeat(np.cumsum(self.n_grams) - self.n_grams, self.n_grams)
+        group = self.owner * STRETCHES + self.stretch
+        order = np.lexsort((counts, counts == 0, group))
+        size = np.bincount(group, minlength=len(self.ids) * STRETCHES)
+        met = np.bincount(group[counts > 0], minlength=len(self.ids) * STRETCHES)
+        rank = np.arange(len(order)) - np.repeat(np.cumsum(size) - size, size)
         rare = np.zeros(len(order), dtype=bool)
-        rare[order] = rank < (self.n_grams[self.owner[order]] + 1) // 2
+        rare[order] = rank < (met[group[order]] + 1) // 2
         self.rare = rare
 
 
@@ -189,14 +199,27 @@ def leaks_of(index: ItemIndex, texts: list[tuple[int, str | None]], share: float
         owner = index.owner[span]
         seeds = np.bincount(owner[index.rare[span]], minlength=len(index.ids))
         grams = np.bincount(owner, minlength=len(index.ids))
-        for k in np.flatnonzero((seeds >= MIN_SEEDS) & (seeds >= MIN_SEED_SHARE * index.n_grams / 2) & (grams >= MIN_GRAM_SHARE * index.n_grams)):
+        for k in np.flatnonzero((seeds >= MIN_SEEDS) & (grams >= MIN_GRAM_SHARE * index.n_grams)):
             mine = span[owner == k]
             keys = np.searchsorted(index.first, mine, side="right") - 1
-            seed_keys = keys[index.rare[mine]]
-            places = at[np.isin(key, seed_keys)]
+            where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[where] == key
+            # n-grams of a passage lie on one diagonal, those of usual wording are strewn
+            diagonal = at[hit] - index.place[mine[where[hit]]]
+            band = diagonal // _BAND
+            band -= band.min()
+            size = np.bincount(band)
+            if len(size) > 1:
+                size = size[:-1] + size[1:]
+            top = int(size.argmax())
+            best = int(size[top])
+            size[max(0, top - 1) : top + 2] = 0
+            if best < MIN_RUN or best + int(size.max()) < MIN_RUNS_SHARE * index.n_grams[k]:
+                continue
+            places = at[hit]
             words_of = index.words[k]
-            # the stretch around the seeds, an item's length beyond each, parts without seeds left out
-            margin = len(words_of)
+            # the stretches around the n-grams met, parts without any left out
+            margin = GRAM + 8
             keep = np.zeros(len(codes), dtype=np.int32)
             lo, hi = np.maximum(places - margin, 0), np.minimum(places + margin, len(codes))
             np.add.at(keep, lo, 1)
