@@ -23,6 +23,7 @@ STRETCHES = 8
 MIN_GRAM_SHARE = 0.22
 MIN_RUNS_SHARE = 0.26
 MIN_RUN = 5
+MIN_SEED_SHARE = 0.1
 _BAND = 12
 SECOND_WORDS = 10
 ITEMS_AT_ONCE = 5_000
@@ -35,10 +36,13 @@ def _plain(word: str) -> str:
 
 
 def _tokens(text: str | None) -> list[str]:
+    found = words(fold(text))
+    if not found or max(text) < "\u2e80":
+        return found
     out = []
-    for w in words(fold(text)):
+    for w in found:
         # scripts without spaces: one token a character
-        if w[0] > "⺀" and len(w) > 1:
+        if w[0] >= "\u2e80" and len(w) > 1:
             out.extend(w)
         else:
             out.append(w)
@@ -97,8 +101,7 @@ class ItemIndex:
 
     def codes(self, text: str | None) -> np.ndarray:
         get = self.vocabulary.get
-        tokens = _tokens(text)
-        return np.fromiter((get(w, 0) for w in tokens), dtype=np.int64, count=len(tokens))
+        return np.array([get(w, 0) for w in _tokens(text)], dtype=np.int64)
 
     def places(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word positions of the document's n-grams that items have, and their places in keys."""
@@ -195,11 +198,12 @@ def leaks_of(index: ItemIndex, texts: list[tuple[int, str | None]], share: float
         if len(key) < MIN_SEEDS:
             continue
         distinct = np.unique(key)
-        span = np.concatenate([np.arange(index.first[k], index.first[k + 1]) for k in distinct])
+        count = index.first[distinct + 1] - index.first[distinct]
+        span = np.arange(int(count.sum())) + np.repeat(index.first[distinct] - np.cumsum(count) + count, count)
         owner = index.owner[span]
         seeds = np.bincount(owner[index.rare[span]], minlength=len(index.ids))
         grams = np.bincount(owner, minlength=len(index.ids))
-        for k in np.flatnonzero((seeds >= MIN_SEEDS) & (grams >= MIN_GRAM_SHARE * index.n_grams)):
+        for k in np.flatnonzero((seeds >= MIN_SEEDS) & (seeds >= MIN_SEED_SHARE * index.n_grams) & (grams >= MIN_GRAM_SHARE * index.n_grams)):
             mine = span[owner == k]
             keys = np.searchsorted(index.first, mine, side="right") - 1
             where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
