@@ -29,13 +29,13 @@ def collapse_ids(records: DataFrame, key: str = "record_id") -> DataFrame:
     Rows that share a null id are one group. Aggregation is partial before the shuffle, so a heavily repeated id is no hot
     spot.
     """
-    least = records.groupBy(key).agg(F.min(F.struct("source_name", "line_no", *[c for c in records.columns if c not in ("source_name", "line_no") and not _unordered(records, c)])).alias("__m"), F.count("*").alias("copies"))
-    names = [c for c in records.columns if c != key and not _unordered(records, c)]
-    return least.select(key, *[F.col(f"__m.{c}").alias(c) for c in names], "copies")
-
-
-def _unordered(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.typeName() in ("map", "variant")
+    rest = [c for c in records.columns if c not in ("source_name", "line_no", key)]
+    is_map = {c for c in rest if records.schema[c].dataType.typeName() == "map"}
+    ordered = [F.array_sort(F.map_entries(c)).alias(c) if c in is_map else F.col(c) for c in rest]  # maps have no order, their entries do
+    ahead = [c for c in ("source_name", "line_no") if c != key]
+    least = records.groupBy(key).agg(F.min(F.struct(*ahead, *ordered)).alias("__m"), F.count("*").alias("copies"))
+    back = [F.map_from_entries(f"__m.{c}").alias(c) if c in is_map else F.col(f"__m.{c}").alias(c) for c in [*ahead, *rest]]
+    return least.select(key, *back, "copies")
 
 
 def exact_survivors(records: DataFrame, input_text: str = "input_text", output_text: str = "output_text") -> DataFrame:

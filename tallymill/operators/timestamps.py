@@ -15,6 +15,10 @@ def _utc(ts: pa.Array, zone: pa.Array, order: pa.Array) -> pa.Array:
     return to_utc(ts, zone, order)
 
 
+# evaluated once per row, not once in the filter and again in the projection
+_utc = _utc.asNondeterministic() if hasattr(_utc, "asNondeterministic") else _utc
+
+
 def utc_of(ts: Column, zone: Column, order: Column) -> Column:
     """UTC text of a stamp read with the zone and date order of its source.
 
