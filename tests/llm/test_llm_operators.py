@@ -89,8 +89,10 @@ def test_near_groups_match_brute_force(spark, seed, vocabulary, length):
     assert got == brute_groups(qa)
 
 
-def test_near_tiles_see_large_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near, "_SMALL", 1)
+@pytest.mark.parametrize("small,medium", [(1, 1), (1, 1000), (1000, 1000)])
+def test_near_blocks_of_each_size(spark, monkeypatch, small, medium):
+    monkeypatch.setattr(near, "_SMALL", small)
+    monkeypatch.setattr(near, "_MEDIUM", medium)
     test_near_groups_match_brute_force(spark, 5, 40, 15)
 
 
