@@ -64,7 +64,7 @@ def check_partition(assigned: DataFrame, records: DataFrame, key: str = "key") -
 
 
 def check_quotas(quotas: DataFrame, requested: int) -> DataFrame:
-    total = quotas.agg(F.sum("quota").alias("q"), F.sum("size").alias("n"))
+    total = quotas.agg(F.coalesce(F.sum("quota"), F.lit(0)).alias("q"), F.coalesce(F.sum("size"), F.lit(0)).alias("n"))
     return _rule(quotas, (F.col("quota") > F.col("size")) | (F.col("quota") < 0), "sampling", "quota within stratum", F.col("stratum")).unionByName(
         _rule(total, F.col("q") != F.least(F.lit(requested), F.col("n")), "sampling", "quotas add up", F.col("q"))
     )
