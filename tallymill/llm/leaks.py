@@ -29,6 +29,8 @@ SECOND_WORDS = 10
 ITEMS_AT_ONCE = 5_000
 _MATCH, _MISS, _GAP = 2, -2, -2
 _WIDE = 1 << 21
+_WINDOW = 4096  # new document words of a window of the alignment
+_CELLS = 4_000_000  # cells of the alignment held at once
 
 
 def _plain(word: str) -> str:
@@ -128,6 +130,36 @@ class ItemIndex:
 def _align(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, int, int, int]]:
     """Best local alignment of each (item words, document words): matches, item span and document span.
 
+    A long document goes in windows. An alignment that scores has fewer misses and gaps than matches, so it spans less
+    than twice the item's words; windows that share as many lose none, whatever the document's length.
+    """
+    best: list[tuple[int, int, int, int, int, int]] = [(0, 0, 0, 0, 0, 0)] * len(pairs)
+    windows = []
+    for k, (a, b) in enumerate(pairs):
+        shared = 2 * len(a)
+        step = max(_WINDOW, shared)
+        for at in range(0, max(1, len(b) - shared), step):
+            windows.append((k, at, (a, b[at : at + step + shared])))
+    i = 0
+    while i < len(windows):
+        n, rows, cols = 0, 0, 0
+        while i + n < len(windows):
+            a, b = windows[i + n][2]
+            rows, cols = max(rows, len(a)), max(cols, len(b))
+            if n and (n + 1) * (rows + 1) * (cols + 1) > _CELLS:
+                break
+            n += 1
+        for (k, at, _), (score, m, i0, i1, j0, j1) in zip(windows[i : i + n], _align_whole([w[2] for w in windows[i : i + n]])):
+            # equal scores go to the one that ends first in the item, then in the document
+            if (score, -i1, -(j1 + at)) > (best[k][0], -best[k][3], -best[k][5]):
+                best[k] = (score, m, i0, i1, j0 + at, j1 + at)
+        i += n
+    return [found[1:] for found in best]
+
+
+def _align_whole(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, int, int, int, int]]:
+    """Score of the best local alignment of each pair, and what _align says of it.
+
     All pairs go through the recurrence together; gaps along the document are a running maximum.
     """
     n = len(pairs)
@@ -138,18 +170,21 @@ def _align(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, i
     for k, (a, b) in enumerate(pairs):
         item[k, : len(a)] = a
         doc[k, : len(b)] = b
-    h = np.zeros((rows + 1, n, cols + 1), dtype=np.int16)
-    slope = (np.arange(cols + 1) * -_GAP).astype(np.int16)
+    # no sum of a score and the slope exceeds the match of every word and a gap at every column
+    kind = np.int16 if _MATCH * rows - _GAP * (cols + 1) <= np.iinfo(np.int16).max else np.int32
+    h = np.zeros((rows + 1, n, cols + 1), dtype=kind)
+    slope = (np.arange(cols + 1) * -_GAP).astype(kind)
     for i in range(rows):
         same = doc == item[:, i : i + 1]
         t = np.maximum(h[i] + _GAP, 0)
-        np.maximum(t[:, 1:], h[i][:, :-1] + np.where(same, _MATCH, _MISS).astype(np.int16), out=t[:, 1:])
+        np.maximum(t[:, 1:], h[i][:, :-1] + np.where(same, _MATCH, _MISS).astype(kind), out=t[:, 1:])
         h[i + 1] = np.maximum.accumulate(t + slope, axis=1) - slope
     out = []
     for k in range(n):
         mine = h[:, k, :]
         i, j = np.unravel_index(int(mine.argmax()), mine.shape)
         i1, j1, matches = int(i), int(j), 0
+        score = int(mine[i1, j1])
         a, b = pairs[k]
         i, j = i1, j1
         while i > 0 and j > 0 and mine[i, j] > 0:
@@ -162,7 +197,7 @@ def _align(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, i
                 i -= 1
             else:
                 j -= 1
-        out.append((matches, int(i), i1, int(j), j1))
+        out.append((score, matches, int(i), i1, int(j), j1))
     return out
 
 

@@ -239,6 +239,31 @@ def test_leaks(spark):
     assert rows(leaks.found_leaks(d.limit(0), i)) == [] and rows(leaks.found_leaks(d, i.limit(0))) == []
 
 
+def test_a_leak_late_in_a_long_document(spark):
+    rng = random.Random(9)
+    voc = [f"mot{i}" for i in range(60)]
+    item = [rng.choice(voc) for _ in range(100)]
+    # wording of one trade: nearly every word lies near a trigram of the item, so the alignment gets them all
+    trade = lambda n: [w for k in range(n // 10) for w in (lambda at: item[at : at + 3] + ["autre"] * 7)((k * 37) % 97)]
+    docs = [(1, " ".join(trade(22_000) + item)), (2, " ".join(trade(45_000) + item[:30] + trade(25_000) + item[45:75])), (3, " ".join(trade(45_000)))]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    i = spark.createDataFrame([(5, " ".join(item))], "item_id bigint, text string")
+    assert rows(leaks.found_leaks(d, i)) == [(5, 1), (5, 2)]
+
+
+@pytest.mark.parametrize("wide", [40, 4096])
+def test_alignment_in_windows(monkeypatch, wide):
+    import numpy as np
+
+    rng = np.random.default_rng(wide)
+    pairs_ = [(rng.integers(1, 12, rng.integers(5, 30)), rng.integers(1, 12, rng.integers(1, 900))) for _ in range(60)]
+    want = [w[1:] for p in pairs_ for w in leaks._align_whole([p])]
+    monkeypatch.setattr(leaks, "_WINDOW", wide)
+    assert leaks._align(pairs_) == want
+    a = np.arange(1, 101)
+    assert leaks._align([(a, np.concatenate([np.zeros(30_000, dtype=np.int64), a]))]) == [(100, 0, 100, 30_000, 30_100)]
+
+
 # ---------------------------------------------------------------- sentences (problem 9)
 SENTENCES = [
     ("M. Douier a relevé env. 32,7 km de bouchon. Voir p. ex. la fiche n° 12, cf. annexe 8.", ["M. Douier a relevé env. 32,7 km de bouchon.", "Voir p. ex. la fiche n° 12, cf. annexe 8."]),
