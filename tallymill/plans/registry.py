@@ -242,7 +242,7 @@ def redaction_counts(spark, sf_dir):
 
 
 def hdbscan_clusters(spark, sf_dir):
-    labels = cluster.cluster_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    labels = cluster.cluster_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return cluster.cluster_ids(materialize(labels, "labels"))
 
 

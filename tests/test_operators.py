@@ -173,6 +173,19 @@ def test_hdbscan_finds_the_blobs(spark):
     checks.require_sound(checks.check_partition(ids, df))
 
 
+def test_hdbscan_query_clusters_the_whole_table(spark, tmp_path):
+    from tallymill.plans import registry
+
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(c, 0.05, (24, 3)) for c in (0.0, 1.0, 2.0)])
+    # every blob holds rows of both labels
+    rows_ = [(i, v.tolist(), f"label{i % 2}") for i, v in enumerate(x)]
+    spark.createDataFrame(rows_, "vec_id bigint, embedding array<double>, label string").write.parquet(f"file://{tmp_path}/embeddings.parquet")
+    got = {r.key: r.cluster_id for r in registry.QUERIES["hdbscan_clusters"](spark, f"file://{tmp_path}").collect()}
+    want = cluster.hdbscan_labels(x, 5)
+    assert len(got) == 72 and len({(got[i], want[i]) for i in range(72)}) == len(set(want)) == len(set(got.values()))
+
+
 def test_gate_and_manifest():
     good = {"status": "ok", "kappa": 0.6, "lower": 0.5, "upper": 0.7}
     d = export.evaluate_gate(good, ready=True, same_instrument=True, labels_sha256="f" * 64)
