@@ -186,6 +186,42 @@ def test_hdbscan_query_clusters_the_whole_table(spark, tmp_path):
     assert len(got) == 72 and len({(got[i], want[i]) for i in range(72)}) == len(set(want)) == len(set(got.values()))
 
 
+def test_hdbscan_beyond_one_task(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(c, 0.05 + 0.02 * c, (30, 4)) for c in (0.0, 1.0, 2.0)] + [rng.uniform(-1, 3, (10, 4))])
+    rng.shuffle(x)
+    data = [(f"r{i:03d}", v.tolist(), "big") for i, v in enumerate(x)] + [("null", None, "big"), ("one", [1.0] * 4, "small")]
+    df = spark.createDataFrame(data, "record_id string, vec array<double>, g string")
+    want = cluster.hdbscan_labels(x, 5)
+    monkeypatch.setattr(cluster, "MAX_GROUP", 50)
+    for block in (16, 1000):
+        monkeypatch.setattr(cluster, "BLOCK_ROWS", block)
+        got = {r["key"]: r["label"] for r in cluster.cluster_rows(df, group="g").collect()}
+        assert len(got) == 102 and got["null"] == got["one"] == -1
+        pairs_ = {(got[f"r{i:03d}"], want[i]) for i in range(100)}
+        assert len(pairs_) == len({a for a, _ in pairs_}) == len({b for _, b in pairs_}) >= 4
+
+
+def test_trees_of_block_pairs_hold_the_whole_tree():
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(60, 3))
+    d = cluster._distances(x, x)
+    core = np.partition(d, 4, axis=1)[:, 4]
+    reach = np.maximum(np.maximum(d, core[:, None]), core[None])
+    at, codes, lengths = np.arange(60), [], []
+    for i in range(0, 60, 25):
+        for j in range(i, 60, 25):
+            a, b = at[i : i + 25], at[j : j + 25]
+            c, v = cluster._pair_tree(reach[i : i + 25, j : j + 25], a if i == j else np.concatenate([a, b]), i == j)
+            codes.append(c)
+            lengths.append(v)
+    codes, lengths = np.concatenate(codes), np.concatenate(lengths)
+    kept = cluster._forest(codes, lengths)
+    whole, length = cluster._pair_tree(reach, at, True)
+    assert set(codes[kept]) == set(whole)
+    assert np.allclose(np.sort(length), np.sort(cluster._spanning_tree(x, core)[:, 2]), atol=1e-7)
+
+
 def test_gate_and_manifest():
     good = {"status": "ok", "kappa": 0.6, "lower": 0.5, "upper": 0.7}
     d = export.evaluate_gate(good, ready=True, same_instrument=True, labels_sha256="f" * 64)
