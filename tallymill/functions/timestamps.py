@@ -1,8 +1,7 @@
 """Vectorised conversion of mixed timestamp spellings to UTC.
 
-Each value is reduced to its character-class shape (letter runs become A, digits 9). A distinct shape is matched
-against the known layouts once; all values of the shape are then taken apart by one Arrow regular expression and
-converted with numpy. Wall times go through transition tables drawn from the installed zone database.
+Each value is reduced to its shape (digits become 9, words stay). Every distinct shape is matched against the known
+layouts by itself; all values of a layout are then taken apart by one Arrow regular expression and converted with numpy. Wall times go through transition tables drawn from the installed zone database.
 """
 
 from __future__ import annotations
@@ -58,15 +57,15 @@ def _arrow(pattern: str) -> str:
 
 
 @functools.lru_cache(maxsize=4096)
-def layout_of(shape: str, example: str) -> str | None:
+def layout_of(shape: str) -> str | None:
     """Pattern with named groups that takes values of this shape apart; None where none denotes an instant."""
     import regex
 
-    if regex.fullmatch(r"\d+(?:\.\d+)?", example):
+    if regex.fullmatch(r"\d+(?:\.\d+)?", shape):
         return r"^(?P<n>\d+)(?:\.(?P<nf>\d+))?$"
     for date in _DATES.values():
         pattern = _WEEKDAY + date + "(?:" + _GAP + _TIME + _HALF + _ZONE + ")?"
-        if regex.fullmatch(pattern, example):
+        if regex.fullmatch(pattern, shape):
             return _arrow(pattern)
     return None
 
@@ -235,30 +234,18 @@ def to_utc(stamps: pa.Array, zones: pa.Array, orders: pa.Array) -> pa.Array:
     if isinstance(stamps, pa.ChunkedArray):
         stamps, zones, orders = stamps.combine_chunks(), zones.combine_chunks(), orders.combine_chunks()
     stamps = pc.utf8_trim_whitespace(stamps.cast(pa.string()))
-    shapes = pc.replace_substring_regex(pc.replace_substring_regex(stamps, r"\p{L}+", "A"), r"[0-9]", "9").dictionary_encode()
+    shapes = pc.replace_substring_regex(stamps, r"[0-9]", "9").dictionary_encode()
     codes = pc.fill_null(shapes.indices, -1).to_numpy(zero_copy_only=False)
     zone, order = zones.to_numpy(zero_copy_only=False), orders.to_numpy(zero_copy_only=False)
     us = np.zeros(len(stamps), dtype=np.int64)
     ok = np.zeros(len(stamps), dtype=bool)
-    for code, shape in enumerate(shapes.dictionary.to_pylist()):
-        rows = np.flatnonzero(codes == code)
-        if not len(rows) or "9" not in shape:
-            continue
-        left = rows
-        for _ in range(3):  # words of one shape may still need different layouts (W, Uhr, AM, a zone): at most a few
-            values = stamps.take(pa.array(left))
-            pattern = layout_of(shape, values[0].as_py())
-            if pattern is None:
-                left = left[1:] if len(left) > 1 and left is rows else left[:0]
-                if not len(left):
-                    break
-                continue
-            got, fits = _convert(values, zone[left], order[left], pattern)
-            us[left], ok[left] = got, fits
-            unmatched = ~pc.match_substring_regex(values, pattern).to_numpy(zero_copy_only=False)
-            left = left[unmatched]
-            if not len(left):
-                break
+    # no layout tells one digit from another, so a shape fits or doesn't whatever rows stand around it
+    patterns = [layout_of(shape) if "9" in shape else None for shape in shapes.dictionary.to_pylist()]
+    distinct = {pattern: i for i, pattern in enumerate(sorted({p for p in patterns if p is not None}))}
+    layout = np.array([distinct.get(p, -1) for p in patterns] + [-1], dtype=np.int64)[codes]
+    for pattern, i in distinct.items():
+        rows = np.flatnonzero(layout == i)
+        us[rows], ok[rows] = _convert(stamps.take(pa.array(rows)), zone[rows], order[rows], pattern)
     low, high = -62_135_596_800_000_000, 253_402_300_800_000_000
     ok &= (us >= low) & (us < high)
     text = np.char.add(np.datetime_as_string(np.where(ok, us, 0).astype("datetime64[us]"), unit="us"), "Z")

@@ -52,6 +52,15 @@ def test_every_stamp_together_and_alone():
     assert to_utc(*[pa.array([], pa.string())] * 3).to_pylist() == []
 
 
+def test_spellings_without_a_layout_hide_no_others():
+    local = [f"2025-01-07 04:{m} local" for m in (40, 41)] + ["2025-01-07 04:42 here", "2025-01-07 04:43 there"]
+    stamps = [*local, "2025-01-07 04:40 CET", "2025-01-07 04:40 PM", *local, "2025-01-07 04:40 UTC"]
+    want = [None] * 4 + ["2025-01-07T03:40:00.000000Z", "2025-01-07T15:40:00.000000Z"] + [None] * 4 + ["2025-01-07T04:40:00.000000Z"]
+    for way in (slice(None), slice(None, None, -1)):
+        n = len(stamps)
+        assert to_utc(pa.array(stamps[way]), pa.array(["Europe/Paris"] * n), pa.array(["dmy"] * n)).to_pylist() == want[way]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.datetimes(min_value=__import__("datetime").datetime(2001, 1, 1), max_value=__import__("datetime").datetime(2090, 1, 1)), st.sampled_from(["Europe/Paris", "America/Toronto", "Asia/Tokyo"]))
 def test_wall_times_follow_the_zone_database(wall, zone):
