@@ -194,6 +194,27 @@ def test_defects(spark):
     assert rows(pairs.find_defects(df.limit(0), judge)) == []
 
 
+REFUSALS = """Je ne peux pas vous répondre|ici pas autorisé|je dois décliner|nous préférons refuser|je dois m'abstenir|je préfère ne pas|ne pas me prononcer|il m'est impossible|il nous est impossible
+je refuse de traiter|cela sort de ce que je sais|cela ressort de ce que j'ai|droit d'aborder|Cette demande est hors de mon périmètre.|dehors de mon domaine|n'ai pas le droit|pas mon rôle|je me refuserai|dois refuser|un repas autorisé
+I cannot|I can't|I can not|I won't|unable to|not able to|not allowed|not permitted|not authorized|not authorised|must decline|have to decline|decline to|rather not|prefer not|not comfortable|refuse to|outside what I|outside of what I
+no puedo|no podemos|no estoy autorizada|bueno estoy autorizado|no me es posible|no tengo permitido|no me está permitido|prefiero no|debo rechazar|debo declinar|me es imposible|esto es fuera de lo que|afuera de lo que|no me corresponde|declino
+das kann ich nicht|ich darf das nicht|muss ich ablehnen|muss ich ablehnend|ablehnen muss|nicht befugt|nicht berechtigt|nicht beantworten|nicht äußern|nicht erlaubt|nicht möglich|Das liegt außerhalb dessen, was hier geht.|AUSSERHALB bleibt: außerhalb dessen"""
+
+
+@pytest.mark.parametrize("answer", REFUSALS.replace("\n", "|").split("|"))
+def test_no_refusal_skips_the_field(answer):
+    seen = []
+
+    class Tags:
+        def tag(self, x):
+            seen.append(len(x))
+            return [0] * len(x)
+
+    assert pairs.REFUSAL.search(answer)
+    pairs.PairJudge(Tags(), pairs.EndModel([])).defect(None, answer + (" ." if answer[-1] != "." else ""))
+    assert seen
+
+
 # ---------------------------------------------------------------- token ids (problem 7)
 TEXTS = st.text(alphabet=st.sampled_from(list("abcdéàZ09 '’.,;!?\n\t-_€漢字ไทย🙂  ")), max_size=300)
 
