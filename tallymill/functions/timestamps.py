@@ -1,7 +1,9 @@
 """Vectorised conversion of mixed timestamp spellings to UTC.
 
-Each value is reduced to its shape (digits become 9, words stay). Every distinct shape is matched against the known
-layouts by itself; all values of a layout are then taken apart by one Arrow regular expression and converted with numpy. Wall times go through transition tables drawn from the installed zone database.
+Each value is reduced to its mask of character classes (a digit becomes 9, a run of letters A). Every distinct mask is
+mapped once to the layouts it can hold; all values of the mask are then taken apart by those layouts, each in one Arrow
+regular expression, until none fits what is left. Wall times go through transition tables drawn from the installed zone
+database and known by its version.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ MONTHS = {
     "januar": 1, "februar": 2, "märz": 3, "juni": 6, "juli": 7, "oktober": 10, "dezember": 12,
     "enero": 1, "febrero": 2, "marzo": 3, "abril": 4, "mayo": 5, "junio": 6, "julio": 7, "agosto": 8,
     "septiembre": 9, "octubre": 10, "noviembre": 11, "diciembre": 12,
+    "janv": 1, "févr": 2, "fév": 2, "avr": 4, "juil": 7, "déc": 12, "jän": 1, "mär": 3, "okt": 10, "dez": 12, "ene": 1, "abr": 4, "ago": 8, "dic": 12,
 }
 # Minutes east of UTC of zone abbreviations.
 ABBREVIATIONS = {
@@ -34,44 +37,82 @@ ABBREVIATIONS = {
 }
 CANONICAL = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\+00:00$"
 
-_DATES = {
-    "ymd": r"(?P<y>\d{4})[-/.](?P<mo>\d{1,2})[-/.](?P<d>\d{1,2})",
-    "compact": r"(?P<y>\d{4})(?P<mo>\d{2})(?P<d>\d{2})",
-    "ordinal": r"(?P<y>\d{4})-(?P<doy>\d{3})",
-    "week": r"(?P<y>\d{4})-W(?P<wk>\d{2})-(?P<wd>\d)",
-    "slash": r"(?P<p1>\d{1,2})/(?P<p2>\d{1,2})/(?P<y>\d{4}|\d{2})",
-    "dots": r"(?P<d>\d{1,2})\.(?P<mo>\d{1,2})\.(?P<y>\d{4}|\d{2})",
-    "d-mon-y": r"(?P<d>\d{1,2})[- ](?P<mon>\p{L}+)\.?[- ](?P<y>\d{4})",
-    "mon-d-y": r"(?P<mon>\p{L}+)\.? (?P<d>\d{1,2}), (?P<y>\d{4})",
-}
-_WEEKDAY = r"(?:\p{L}+\.?,? )?"
-_GAP = r"(?:T| |, | à | um | at )"
-_TIME = r"(?:(?P<h>\d{1,2})(?::|h)(?P<mi>\d{2})(?::(?P<s>\d{2})(?:[.,](?P<f>\d+))?)?|(?P<h2>\d{2})(?P<mi2>\d{2})(?P<s2>\d{2})(?:[.,](?P<f2>\d+))?)"
-_HALF = r"(?: ?(?P<ap>AM|PM|am|pm|[ap]\.m\.))?"
-_ZONE = r"(?: ?Uhr)?(?: ?(?:(?P<sg>[+-])(?P<oh>\d{2}):?(?P<om>\d{2})?|(?P<z>\p{Lu}{1,5}))(?:\[[^\]]+\])?| ?\[?(?P<iana>\p{L}+(?:/[\p{L}_+-]+)+)\]?)?"
+# Each part of a layout: how it reads in a value, and in a mask.
+_DATES = (
+    (r"(?P<y>\d{4})[-/.](?P<mo>\d{1,2})[-/.](?P<d>\d{1,2})", r"9999[-/.]99?[-/.]99?"),
+    (r"(?P<y>\d{4})(?P<mo>\d{2})(?P<d>\d{2})", r"9{8}"),
+    (r"(?P<y>\d{4})-(?P<doy>\d{3})", r"9999-999"),
+    (r"(?P<y>\d{4})-W(?P<wk>\d{2})-(?P<wd>\d)", r"9999-A99-9"),
+    (r"(?P<p1>\d{1,2})/(?P<p2>\d{1,2})/(?P<y>\d{4}|\d{2})", r"99?/99?/99(?:99)?"),
+    (r"(?P<d>\d{1,2})\.(?P<mo>\d{1,2})\.(?P<y>\d{4}|\d{2})", r"99?\.99?\.99(?:99)?"),
+    (r"(?P<d>\d{1,2})(?:\.|er)?[- ](?P<mon>\p{L}+)\.?[- ](?P<y>\d{4})", r"99?(?:\.|A)?[- ]A\.?[- ]9999"),
+    (r"(?P<d>\d{1,2}) de (?P<mon>\p{L}+) del? (?P<y>\d{4})", r"99? A A A 9999"),
+    (r"(?P<mon>\p{L}+)\.? (?P<d>\d{1,2})(?:st|nd|rd|th)?,? (?P<y>\d{4})", r"A\.? 99?A?,? 9999"),
+)
+_WEEKDAY = (r"(?:\p{L}+\.?,? )?", r"(?:A\.?,? )?")
+_GAP = (r"(?:T|t| |, | à | um | at | a las )", r"(?:A| |, | A | A A )")
+_TIME = (
+    r"(?:(?P<h>\d{1,2})(?::|h)(?P<mi>\d{2})(?::(?P<s>\d{2})(?:[.,](?P<f>\d+))?)?|(?P<h2>\d{2})(?P<mi2>\d{2})(?P<s2>\d{2})(?:[.,](?P<f2>\d+))?)",
+    r"(?:99?[:A]99(?::99(?:[.,]9+)?)?|9{6}(?:[.,]9+)?)",
+)
+_HALF = (r"(?: ?(?P<ap>AM|PM|am|pm|[ap]\.m\.))?", r"(?: ?A(?:\.A\.)?)?")
+_ZONE = (
+    r"(?: ?Uhr)?(?: ?(?:(?P<sg>[+-])(?P<oh>\d{2}):?(?P<om>\d{2})?|(?P<z>\p{Lu}{1,5}|z))(?:\[[^\]]+\])?| ?\[?(?P<iana>\p{L}+(?:/[\p{L}_+-]+)+)\]?)?",
+    r"(?: ?A)?(?: ?(?:[+-]99:?(?:99)?|A)(?:\[[^\]]+\])?| ?\[?A(?:[/_+-]+A)+\]?)?",
+)
+# the date of the C library's form stands around the time
+_CTIME = (
+    r"\p{L}+ (?P<mon>\p{L}+) +(?P<d>\d{1,2}) (?P<h>\d{2}):(?P<mi>\d{2}):(?P<s>\d{2})(?: (?P<z>\p{Lu}{1,5}))? (?P<y>\d{4})",
+    r"A A +99? 99:99:99(?: A)? 9999",
+)
+_NUMBER = (r"(?P<n>\d+)(?:\.(?P<nf>\d+))?", r"9+(?:\.9+)?")
 _UNITS = (1, 1_000, 1_000_000, 1_000_000_000)  # parts of a second in which bare numbers may count
 
 
-def _arrow(pattern: str) -> str:
-    return "^" + pattern + "$"
+def _layouts() -> list[tuple[str, str]]:
+    """(value pattern, mask pattern) of every layout, in the order in which they are tried."""
+    after = ["(?:" + _GAP[k] + _TIME[k] + _HALF[k] + _ZONE[k] + ")?" for k in (0, 1)]
+    dated = [tuple(_WEEKDAY[k] + date[k] + after[k] for k in (0, 1)) for date in _DATES]
+    return [tuple("^" + p + "$" for p in layout) for layout in (_NUMBER, *dated, _CTIME)]
+
+
+LAYOUTS = _layouts()
 
 
 @functools.lru_cache(maxsize=4096)
-def layout_of(shape: str) -> str | None:
-    """Pattern with named groups that takes values of this shape apart; None where none denotes an instant."""
+def layouts_of(mask: str) -> tuple[str, ...]:
+    """Patterns of the layouts that a value of this mask may have; a function of the mask alone, found once a process."""
     import regex
 
-    if regex.fullmatch(r"\d+(?:\.\d+)?", shape):
-        return r"^(?P<n>\d+)(?:\.(?P<nf>\d+))?$"
-    for date in _DATES.values():
-        pattern = _WEEKDAY + date + "(?:" + _GAP + _TIME + _HALF + _ZONE + ")?"
-        if regex.fullmatch(pattern, shape):
-            return _arrow(pattern)
-    return None
+    return tuple(value for value, shape in LAYOUTS if regex.fullmatch(shape[1:-1], mask))
+
+
+@functools.lru_cache(maxsize=1)
+def zone_version() -> str:
+    """Version of the zone database the tables are drawn from."""
+    try:
+        import tzdata
+
+        return tzdata.IANA_VERSION
+    except ImportError:
+        pass
+    for folder in zoneinfo.TZPATH:
+        for name in ("tzdata.zi", "+VERSION"):
+            try:
+                with open(f"{folder}/{name}") as f:
+                    return f.readline().removeprefix("# version").strip()
+            except OSError:
+                continue
+    return "system"
 
 
-@functools.lru_cache(maxsize=1024)
 def transitions(zone: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Transition table of a zone in the installed version of the database; None for an unknown zone."""
+    return _table(zone, zone_version())
+
+
+@functools.lru_cache(maxsize=1024)
+def _table(zone: str, version: str) -> tuple[np.ndarray, np.ndarray] | None:
     """Wall-clock thresholds (s) at which an offset ends, and the offsets (s) before, between and after them.
 
     The threshold of a change is the instant plus the larger offset, so that a repeated wall time keeps the earlier
@@ -101,16 +142,6 @@ def transitions(zone: str) -> tuple[np.ndarray, np.ndarray] | None:
     return np.array(thresholds, dtype=np.int64), np.array(offsets, dtype=np.int64)
 
 
-def zone_version() -> str:
-    """Version of the zone database the tables are drawn from."""
-    try:
-        import tzdata
-
-        return tzdata.IANA_VERSION
-    except ImportError:
-        return "system"
-
-
 _LENGTHS = np.array([0, 31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31], dtype=np.int64)
 
 
@@ -211,8 +242,8 @@ def _convert(values: pa.Array, zones: np.ndarray, orders: np.ndarray, pattern: s
     if has_abbr.any():
         for w in set(abbr[has_abbr]):
             mine = has_abbr & (abbr == w)
-            if w in ABBREVIATIONS:
-                offset[mine] = ABBREVIATIONS[w] * 60
+            if w.upper() in ABBREVIATIONS:
+                offset[mine] = ABBREVIATIONS[w.upper()] * 60
             else:
                 ok[mine] = False
     by_zone = ~has_offset & ~has_abbr
@@ -234,18 +265,24 @@ def to_utc(stamps: pa.Array, zones: pa.Array, orders: pa.Array) -> pa.Array:
     if isinstance(stamps, pa.ChunkedArray):
         stamps, zones, orders = stamps.combine_chunks(), zones.combine_chunks(), orders.combine_chunks()
     stamps = pc.utf8_trim_whitespace(stamps.cast(pa.string()))
-    shapes = pc.replace_substring_regex(stamps, r"[0-9]", "9").dictionary_encode()
-    codes = pc.fill_null(shapes.indices, -1).to_numpy(zero_copy_only=False)
+    masks = pc.replace_substring_regex(pc.replace_substring_regex(stamps, r"\p{L}+", "A"), r"[0-9]", "9").dictionary_encode()
+    codes = pc.fill_null(masks.indices, -1).to_numpy(zero_copy_only=False)
     zone, order = zones.to_numpy(zero_copy_only=False), orders.to_numpy(zero_copy_only=False)
     us = np.zeros(len(stamps), dtype=np.int64)
     ok = np.zeros(len(stamps), dtype=bool)
-    # no layout tells one digit from another, so a shape fits or doesn't whatever rows stand around it
-    patterns = [layout_of(shape) if "9" in shape else None for shape in shapes.dictionary.to_pylist()]
-    distinct = {pattern: i for i, pattern in enumerate(sorted({p for p in patterns if p is not None}))}
-    layout = np.array([distinct.get(p, -1) for p in patterns] + [-1], dtype=np.int64)[codes]
-    for pattern, i in distinct.items():
-        rows = np.flatnonzero(layout == i)
-        us[rows], ok[rows] = _convert(stamps.take(pa.array(rows)), zone[rows], order[rows], pattern)
+    # what a value becomes depends on the value alone: every layout its mask may hold is tried on it, in a fixed order
+    fits = [layouts_of(mask) for mask in masks.dictionary.to_pylist()]
+    open_ = np.array([bool(f) for f in fits] + [False], dtype=bool)[codes]
+    for pattern, _ in LAYOUTS:
+        may = np.array([pattern in f for f in fits] + [False], dtype=bool)[codes]
+        rows = np.flatnonzero(open_ & may)
+        if not len(rows):
+            continue
+        taken = stamps.take(pa.array(rows))
+        read = pc.match_substring_regex(taken, pattern).to_numpy(zero_copy_only=False).astype(bool)
+        rows = rows[read]
+        open_[rows] = False
+        us[rows], ok[rows] = _convert(taken.filter(pa.array(read)), zone[rows], order[rows], pattern)
     low, high = -62_135_596_800_000_000, 253_402_300_800_000_000
     ok &= (us >= low) & (us < high)
     text = np.char.add(np.datetime_as_string(np.where(ok, us, 0).astype("datetime64[us]"), unit="us"), "Z")

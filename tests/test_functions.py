@@ -121,3 +121,33 @@ def test_member_bits(spark):
     found = set(rows["id"][hits(rows["p"].to_numpy(), bits)])
     assert found >= set(range(0, 1000, 7)) and len(found) < 160
     assert not member_bits(keys.limit(0), "k", 10).any()
+
+
+def test_stamps_do_not_depend_on_their_neighbours():
+    import random
+
+    import pyarrow as pa
+
+    from tallymill.functions.timestamps import layouts_of, to_utc, transitions, zone_version
+
+    stamps = [
+        "2024-03-01 10:00 foo", "2024-03-01 10:00 bar", "2024-03-01 10:00 UTC", "2024-03-02 10:00 CET", "3 févr. 2024 10:00", "Mon Mar  4 10:00:00 2024",
+        "March 3rd, 2024", "3 de marzo de 2024 a las 10:00", "1er mars 2024 10h00", "2024-03-02t10:00:00z", "20240302T100000Z", "1709373600", "n/a", None, "",
+    ]
+    want = {
+        "2024-03-01 10:00 UTC": "2024-03-01T10", "2024-03-02 10:00 CET": "2024-03-02T09", "3 févr. 2024 10:00": "2024-02-03T09", "Mon Mar  4 10:00:00 2024": "2024-03-04T09",
+        "March 3rd, 2024": "2024-03-02T23", "3 de marzo de 2024 a las 10:00": "2024-03-03T09", "1er mars 2024 10h00": "2024-03-01T09", "2024-03-02t10:00:00z": "2024-03-02T10",
+        "20240302T100000Z": "2024-03-02T10", "1709373600": "2024-03-02T10",
+    }
+    rng = random.Random(3)
+    for _ in range(20):
+        rng.shuffle(stamps)
+        k = rng.randint(0, len(stamps))
+        got = []
+        for part in (stamps[:k], stamps[k:]):
+            n = len(part)
+            got += to_utc(pa.array(part, pa.string()), pa.array(["Europe/Paris"] * n, pa.string()), pa.array(["dmy"] * n, pa.string())).to_pylist()
+        for stamp, utc in zip(stamps, got):
+            assert (utc or "")[:13] == want.get(stamp, ""), stamp
+    assert layouts_of("9999-99-99 99:99 A") and not layouts_of("A A")
+    assert transitions("Europe/Paris") is transitions("Europe/Paris") and zone_version()
