@@ -1,10 +1,11 @@
 """Token ids of a whole corpus by a public byte-level BPE (problem 7), by content-defined chunk reuse.
 
-Texts are cut where a rolling hash over the last characters hits, so that shared passages give the same chunks wherever
-they stand. A chunk is encoded once per worker and batch and looked up after that. A hash cut may fall inside one of the
-tokenizer's own pre-tokens; such a join is repaired by moving the cut to the next place where every reading of the
-pattern starts a new pre-token, and what lies between is re-encoded with the left chunk. At such a place the ids of the
-two parts are, by construction, the ids of the whole.
+Texts are cut wherever a rolling hash over the last characters hits, inside words or not, so that shared passages give
+the same chunks wherever they stand. A chunk is taken apart at the places in it where a pre-token surely starts: the body
+between the first and the last of them is encoded once per worker and looked up after that. What lies between two
+bodies is a join. It is re-encoded together with the last pre-tokens of the body before and the first ones of the body
+after; if the ids of those come out unchanged the join is repaired, else it grows over the whole bodies and at last over
+the whole text.
 """
 
 from __future__ import annotations
@@ -21,11 +22,15 @@ from pyspark.sql import functions as F
 
 TOKENIZERS = os.environ.get("TALLYMILL_TOKENIZERS", "/opt/tokenizers")
 WINDOW = 6
-CUT_BITS = 3
-CACHE = 150_000
+CUT_BITS = 8  # chunks of 256 characters on average
+CACHE = 40_000  # chunks of each of the two generations of a worker's memory
 _SLAB = 2_000_000
 
 
+# Fixed value: the split pattern that sure_starts() and _classes() are written for.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 @functools.lru_cache(maxsize=2)
 def _encoder(directory: str, name: str):
     import sys
@@ -36,6 +41,8 @@ def _encoder(directory: str, name: str):
     if parent not in sys.path:
         sys.path.append(parent)
     pattern = __import__(package).PATTERN
+    if pattern != SPLIT:
+        raise ValueError("the tokenizer splits texts by another pattern than sure_starts() knows")
     with open(os.path.join(directory, name + ".tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -64,74 +71,132 @@ def _gear() -> np.ndarray:
 
 
 def cuts(codes: np.ndarray) -> np.ndarray:
-    """Ascending places (0 < place < len) at which a text may be cut without changing its ids, chosen by content."""
-    n = len(codes)
-    if n < 2:
-        return np.zeros(0, dtype=np.int64)
-    kind = _classes()[codes]
-    before, after = kind[:-1], kind[1:]
-    safe = np.flatnonzero((before != after) & (before != 0) & (before != 4) & ~((before == 3) & (after == 4))) + 1
+    """Ascending places (0 < place < len) after characters whose rolling hash hits: by content alone, anywhere."""
     gear = _gear()[codes & 4095]
     h = gear.copy()
     for k in range(1, WINDOW):
         h[k:] += gear[:-k] << np.uint32(k)
-    wanted = np.flatnonzero((h >> np.uint32(WINDOW)) & np.uint32((1 << CUT_BITS) - 1) == 0) + 1
-    at = np.searchsorted(safe, wanted)
-    return np.unique(safe[at[at < len(safe)]])
+    at = np.flatnonzero((h >> np.uint32(WINDOW)) & np.uint32((1 << CUT_BITS) - 1) == 0) + 1
+    return at[at < len(codes)]
+
+
+def sure_starts(codes: np.ndarray) -> np.ndarray:
+    """Ascending places (0 < place < len) where a pre-token of SPLIT starts whatever stands further left or right."""
+    kind = _classes()[codes]
+    before, after = kind[:-1], kind[1:]
+    return np.flatnonzero((before != after) & (before != 0) & (before != 4) & ~((before == 3) & (after == 4))) + 1
+
+
+class _Memory:
+    """What was met lately: two generations, the older one dropped when the newer is full."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def get(self, key: str):
+        got = self.new.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self.put(key, got)
+        return got
+
+    def put(self, key: str, value) -> None:
+        if len(self.new) >= self.size:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
 
 
 class ChunkEncoder:
-    """Ids of texts, with a bounded memory of the chunks met so far."""
+    """Ids of texts, with a bounded memory of the chunks met so far; `met` and `encoded` count chunks."""
 
     def __init__(self, directory: str = TOKENIZERS, name: str = "byte_bpe_50k"):
         self.encode = _encoder(directory, name).encode_ordinary
-        self.known: dict[str, list[int]] = {}
+        self.bodies, self.joins = _Memory(CACHE), _Memory(CACHE)
+        self.met = self.encoded = self.widened = 0
 
     def ids(self, text: str | None) -> list[int]:
         return self.batch([text])[0]
 
     def batch(self, texts: list[str | None]) -> list[list[int]]:
-        out: list[list[int]] = [[] for _ in texts]
-        # slabs of texts joined by a line feed, so that one vector pass finds the cuts of many texts
+        out: list[list[int]] = []
+        # slabs of texts joined by a line feed, so that one vector pass finds the places of many texts
         start = 0
         while start < len(texts):
             stop, size = start, 0
             while stop < len(texts) and (size == 0 or size < _SLAB):
                 size += len(texts[stop] or "") + 1
                 stop += 1
-            self._slab(texts[start:stop], out, start)
+            out += self._slab([t or "" for t in texts[start:stop]])
             start = stop
         return out
 
-    def _slab(self, texts: list[str | None], out: list[list[int]], first: int) -> None:
-        joined = "\n".join(t or "" for t in texts)
+    def _slab(self, texts: list[str]) -> list[list[int]]:
+        joined = "\n".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        places = cuts(codes)
-        ends = np.cumsum(np.array([len(t or "") + 1 for t in texts], dtype=np.int64))
-        lo = 0
-        bounds = np.searchsorted(places, ends - 1, side="left")
-        known, encode = self.known, self.encode
-        for i, (t, end) in enumerate(zip(texts, ends.tolist())):
-            begin = end - len(t or "") - 1
-            hi = int(bounds[i])
-            if t:
-                inner = places[lo:hi]
-                ids: list[int] = []
-                a = begin
-                for b in [*inner[inner > begin].tolist(), end - 1]:
-                    chunk = joined[a:b]
-                    got = known.get(chunk)
-                    if got is None:
-                        got = encode(chunk)
-                        if len(known) >= CACHE:
-                            known.clear()
-                        known[chunk] = got
-                    ids += got
-                    a = b
-                out[first + i] = ids
-            lo = hi
-
-
+        ends = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64)) - 1
+        begins = np.append(0, ends[:-1] + 1)
+        if len(codes) < 2:
+            return [self.encode(t) if t else [] for t in texts]
+        # chunk borders: hash cuts, and both ends of every text
+        borders = np.unique(np.concatenate([cuts(codes), begins, ends]))
+        starts = sure_starts(codes)
+        # of every chunk the first two and the last two sure starts strictly inside it
+        low, high = np.searchsorted(starts, borders[:-1], side="right"), np.searchsorted(starts, borders[1:], side="left")
+        last = max(0, len(starts) - 1)
+        places = np.stack([starts[np.clip(k, 0, last)] for k in (low, low + 1, high - 2, high - 1)], axis=1) if len(starts) else np.zeros((len(low), 4), dtype=np.int64)
+        whole = (high - low >= 4).tolist()
+        first = np.searchsorted(borders, begins).tolist()
+        final = np.searchsorted(borders, ends).tolist()
+        at, of = borders.tolist(), places.tolist()
+        return [self._text(joined, at, of, whole, i, j) if t else [] for t, i, j in zip(texts, first, final)]
+
+    def _body(self, chunk: str, a: int, place: list[int]) -> tuple[list[int], list[int], list[int]]:
+        """Ids of a chunk's body: its first pre-tokens, the middle, its last pre-tokens."""
+        got = self.bodies.get(chunk)
+        self.met += 1
+        if got is None:
+            p, q, r, s = (x - a for x in place)
+            got = self.encode(chunk[p:q]), self.encode(chunk[q:r]), self.encode(chunk[r:s])
+            self.encoded += 1
+            self.bodies.put(chunk, got)
+        return got
+
+    def _text(self, joined: str, at: list[int], of: list[list[int]], whole: list[bool], i: int, j: int) -> list[int]:
+        begin, end = at[i], at[j]
+        out: list[int] = []
+        left, edge, known = begin, begin, []  # join from `left` on; text[edge:left] has the ids `known`, already in out
+        for k in range(i, j):
+            if not whole[k]:
+                continue  # a chunk without a body lies in the join
+            p, q, r, s = of[k]
+            head, middle, tail = self._body(joined[at[k] : at[k + 1]], at[k], of[k])
+            seam = self._repair(joined[edge:q], known, head)
+            if seam is None:
+                self.widened += 1
+                return self.encode(joined[begin:end])
+            out += seam
+            out += middle
+            out += tail
+            left, edge, known = s, r, tail
+        if left == begin:
+            return self.encode(joined[begin:end])
+        seam = self._repair(joined[edge:end], known, [])
+        if seam is None:
+            self.widened += 1
+            return self.encode(joined[begin:end])
+        return out + seam
+
+    def _repair(self, window: str, before: list[int], after: list[int]) -> list[int] | None:
+        """Ids of a join and of what follows it in the window, if the known ids on both its sides come out unchanged."""
+        got = self.joins.get(window)
+        if got is None:
+            got = self.encode(window)
+            self.joins.put(window, got)
+        n = len(before)
+        if len(got) >= n + len(after) and got[:n] == before and got[len(got) - len(after) :] == after:
+            return got[n:]
+        return None
 
 
 def _encode_batches(directory: str, name: str):

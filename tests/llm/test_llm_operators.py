@@ -330,3 +330,29 @@ def test_sentence_table(spark):
     got = sentences.sentence_units(docs)
     assert got.count() == 3004 and got.where("doc_id IN (2, 3)").count() == 0
     assert squeeze("a b") == "ab"
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k", "byte_bpe_multi_50k"])
+def test_joins_of_chunks_are_repaired(name, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    parts = ["don't", " I'll", "  ", "\n\n", "ab" * 40, "12345", "٣٤", "été", "日本語テキスト", "...", "!?'s", " 'tis", "ไทย", " ", "é", "🙂", "x", " ", "'", "''ve", "\ud800"]
+    for bits in (1, 2, 4, 8):
+        monkeypatch.setattr(tokenize, "CUT_BITS", bits)
+        encoder = tokenize.ChunkEncoder(name=name)
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 60))) for _ in range(300)] + [None, "", " ", "a" * 5000]
+        texts += texts[:50]
+        assert encoder.batch(texts) == [encoder.encode(t) if t else [] for t in texts]
+        assert encoder.widened == 0
+        if bits == 4:
+            assert encoder.encoded < encoder.met
+    assert encoder._repair("abc", encoder.encode("zz"), []) is None
+
+
+def test_a_join_that_disagrees_takes_the_whole_text(monkeypatch):
+    monkeypatch.setattr(tokenize, "CUT_BITS", 5)
+    encoder = tokenize.ChunkEncoder()
+    monkeypatch.setattr(encoder, "_repair", lambda *_: None)
+    text = "One two, three: four five; six seven. " * 20
+    assert encoder.ids(text) == encoder.encode(text) and encoder.widened == 1
