@@ -356,3 +356,37 @@ def test_a_join_that_disagrees_takes_the_whole_text(monkeypatch):
     monkeypatch.setattr(encoder, "_repair", lambda *_: None)
     text = "One two, three: four five; six seven. " * 20
     assert encoder.ids(text) == encoder.encode(text) and encoder.widened == 1
+
+
+def test_spans_equal_the_quadratic_programme(monkeypatch):
+    monkeypatch.setattr(sentences, "LONG", 16)
+    rng = random.Random(6)
+    for _ in range(300):
+        n = rng.randint(1, 12)
+        starts = sorted(rng.sample(range(60), n + 1))
+        scores = [rng.uniform(-4, 4) for _ in range(n)]
+        state = [rng.choice(("a", "b")) for _ in range(n + 1)]
+        weights = sentences.Weights(length=[rng.uniform(-2, 2) for _ in range(6)])
+        got = sentences._best_spans(starts, scores, state, weights)
+
+        def value(ends):
+            return sum(scores[j - 1] + weights.span(starts[j] - starts[i]) - 6.0 * (state[i] != state[j]) for i, j in zip([0, *ends], ends))
+
+        every = [[*inner, n] for k in range(n) for inner in itertools.combinations(range(1, n), k)]
+        assert abs(value(got) - max(map(value, every))) < 1e-9
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    text = "Il pleut. Ok ! (Un. Deux.) " * 40_000
+    began = time.perf_counter()
+    assert len(sentences.sentence_ends(text)) > 100_000
+    assert time.perf_counter() - began < 60
+
+
+def test_words_and_lengths_weigh():
+    weights = sentences.fit_weights(["Le comptage de la rue, fait avec M. Dupont, est fini. Il reste la voie. On reprend demain matin avec M. Petit. Merci."] * 30)
+    assert any(weights.length) and weights.first and weights.last
+    assert sentences.sentence_ends("Vu. Su.", sentences.Weights(first={"su": -9.0})) == [7]
+    assert sentences.sentence_ends("Un café (au กาแฟ) is good. Yes.") == [26, 31]  # one Thai word makes no Thai text
