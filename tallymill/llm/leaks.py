@@ -1,8 +1,9 @@
 """Evaluation passages inside training text (problem 8): rare n-gram seeds, then Smith-Waterman alignment of words.
 
-The n-grams of the test items are counted over the whole corpus in one pass; the rarer half of the n-grams in each
-stretch of an item are its seeds, so that a part that leaks often isn't outdone by parts that never occur. A second pass looks every document up in them, and each (document, item) with enough seeds is aligned word by
-word around its seeds. The item's share inside the best one or two passages decides.
+Every document is read once: its words become numbers of the items' vocabulary, which are written. The n-grams of the
+test items are counted over all of them; those not much more frequent than the rare ones of their stretch of an item are its seeds, so that
+a part that leaks often isn't outdone by parts that never occur. Each (document, item) with enough seeds is aligned word
+by word around its n-grams. The item's share inside the best one or two passages decides.
 """
 
 from __future__ import annotations
@@ -15,18 +16,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.text import fold, words
+from tallymill.session import materialize
 
 GRAM = 3
-MIN_SEEDS = 4
 MIN_SHARE = 0.5
 STRETCHES = 8
-MIN_GRAM_SHARE = 0.22
-MIN_RUNS_SHARE = 0.26
-MIN_RUN = 5
-MIN_SEED_SHARE = 0.1
+# Shares of an item's n-grams that a document must have to be aligned: of all, on its two best diagonals, on the best one,
+# and of the seeds. An item half of whose text stands with every fifth word changed keeps 0.2 of its n-grams, a whole one
+# with every fourth word changed a quarter.
+MIN_GRAM_SHARE = 0.19
+MIN_RUNS_SHARE = 0.19
+MIN_RUN_SHARE = 0.08
+MIN_SEED_SHARE = 0.06
+SECOND_SHARE = 0.08  # share of an item's words that a second passage must match
 _BAND = 12
-SECOND_WORDS = 10
+RARE = 2
 ITEMS_AT_ONCE = 5_000
+BYTES_AT_ONCE = 8 << 20  # what goes to the tasks at once is bounded in items and in their text
 _MATCH, _MISS, _GAP = 2, -2, -2
 _WIDE = 1 << 21
 _WINDOW = 4096  # new document words of a window of the alignment
@@ -103,7 +109,11 @@ class ItemIndex:
 
     def codes(self, text: str | None) -> np.ndarray:
         get = self.vocabulary.get
-        return np.array([get(w, 0) for w in _tokens(text)], dtype=np.int64)
+        tokens = _tokens(text)
+        if text and not text.isascii():
+            # accents don't count on either side
+            return np.array([get(w, 0) or (0 if w.isascii() else get(_plain(w), 0)) for w in tokens], dtype=np.int64)
+        return np.array([get(w, 0) for w in tokens], dtype=np.int64)
 
     def places(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word positions of the document's n-grams that items have, and their places in keys."""
@@ -115,16 +125,15 @@ class ItemIndex:
         return hit, at[hit]
 
     def weigh(self, df: np.ndarray) -> None:
-        """Marks the rarer half of the n-grams that occur at all in each stretch of each item as its seeds."""
+        """Marks as seeds the n-grams at most RARE times as frequent as the lower quartile of those met in their stretch."""
         counts = np.repeat(df, np.diff(self.first))
         group = self.owner * STRETCHES + self.stretch
         order = np.lexsort((counts, counts == 0, group))
         size = np.bincount(group, minlength=len(self.ids) * STRETCHES)
         met = np.bincount(group[counts > 0], minlength=len(self.ids) * STRETCHES)
-        rank = np.arange(len(order)) - np.repeat(np.cumsum(size) - size, size)
-        rare = np.zeros(len(order), dtype=bool)
-        rare[order] = rank < (met[group[order]] + 1) // 2
-        self.rare = rare
+        quarter = np.cumsum(size) - size + np.maximum(0, (met - 1) // 4)
+        typical = np.where(met > 0, counts[order[np.minimum(quarter, len(order) - 1)]], 0) if len(order) else np.zeros(0, dtype=np.int64)
+        self.rare = counts <= RARE * typical[group]
 
 
 def _align(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, int, int, int]]:
@@ -217,20 +226,17 @@ def held_shares(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
             rest.append((a2, b2))
     if rest:
         for k, (m, i0, i1, _, _) in zip(again, _align(rest)):
-            if m >= SECOND_WORDS:
+            if m >= SECOND_SHARE * len(pairs[k][0]):
                 shares[k] += (i1 - i0) / len(pairs[k][0])
     return shares
 
 
-def leaks_of(index: ItemIndex, texts: list[tuple[int, str | None]], share: float = MIN_SHARE) -> list[tuple[int, int, float]]:
-    """(item_id, doc_id, share) of the documents that hold at least `share` of an item."""
+def leaks_of(index: ItemIndex, coded: list[tuple[int, np.ndarray]], share: float = MIN_SHARE) -> list[tuple[int, int, float]]:
+    """(item_id, doc_id, share) of the documents, given as index.codes() of their texts, that hold at least `share` of an item."""
     wanted = []
-    for doc, text in texts:
-        if not text:
-            continue
-        codes = index.codes(text)
+    for doc, codes in coded:
         at, key = index.places(codes)
-        if len(key) < MIN_SEEDS:
+        if not len(key):
             continue
         distinct = np.unique(key)
         count = index.first[distinct + 1] - index.first[distinct]
@@ -238,7 +244,7 @@ def leaks_of(index: ItemIndex, texts: list[tuple[int, str | None]], share: float
         owner = index.owner[span]
         seeds = np.bincount(owner[index.rare[span]], minlength=len(index.ids))
         grams = np.bincount(owner, minlength=len(index.ids))
-        for k in np.flatnonzero((seeds >= MIN_SEEDS) & (seeds >= MIN_SEED_SHARE * index.n_grams) & (grams >= MIN_GRAM_SHARE * index.n_grams)):
+        for k in np.flatnonzero((seeds > 0) & (seeds >= MIN_SEED_SHARE * index.n_grams) & (grams >= MIN_GRAM_SHARE * index.n_grams)):
             mine = span[owner == k]
             keys = np.searchsorted(index.first, mine, side="right") - 1
             where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
@@ -253,7 +259,7 @@ def leaks_of(index: ItemIndex, texts: list[tuple[int, str | None]], share: float
             top = int(size.argmax())
             best = int(size[top])
             size[max(0, top - 1) : top + 2] = 0
-            if best < MIN_RUN or best + int(size.max()) < MIN_RUNS_SHARE * index.n_grams[k]:
+            if best < MIN_RUN_SHARE * index.n_grams[k] or best + int(size.max()) < MIN_RUNS_SHARE * index.n_grams[k]:
                 continue
             places = at[hit]
             words_of = index.words[k]
@@ -279,45 +285,66 @@ def leaks_of(index: ItemIndex, texts: list[tuple[int, str | None]], share: float
 def find_leaks(documents: DataFrame, items: DataFrame, share: float = MIN_SHARE) -> DataFrame:
     """(item_id, doc_id, share): documents that hold at least `share` of an item's words, in order, in one or two passages.
 
-    items is the held-out set; it goes to the tasks in blocks of at most ITEMS_AT_ONCE items, one pass over the corpus
-    each, so that what is sent stays bounded. Case, accents, punctuation, layout and single words may differ. Items and
+    items is the held-out set; it goes to the tasks in blocks of at most ITEMS_AT_ONCE items and about BYTES_AT_ONCE of text,
+    one pass over the texts each, so that what is sent stays bounded. Case, accents, punctuation, layout and single words may differ. Items and
     documents with null, empty or shorter text than an n-gram are in no case; repeated documents each count.
+
+    A second passage counts if it matches at least SECOND_SHARE of the item's words. Before the alignment a document must
+    hold the shares of the item's n-grams named at the top; a passage changed so often that fewer are left isn't found.
     """
     spark = documents.sparkSession
     base = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     listed = items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).where("text is not null").dropDuplicates().orderBy("item_id", "text")
-    out, block = None, []
+    out, block, held = None, [], 0
 
     def one(block: list[tuple[int, str]]) -> DataFrame:
         index = ItemIndex(block)
 
+        def code(batches):
+            for b in batches:
+                for k in range(0, b.num_rows, 1000):
+                    part = b.slice(k, 1000)
+                    found = [index.codes(t) for t in part.column("text").to_pylist()]
+                    offsets = np.zeros(len(found) + 1, dtype=np.int32)
+                    np.cumsum([len(c) for c in found], out=offsets[1:])
+                    flat = np.concatenate([*found, np.zeros(0, dtype=np.int64)]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "codes"])
+
+        coded = materialize(base.mapInArrow(code, "doc_id bigint, codes array<int>"), "leak-codes")
+
+        def arrays(b: pa.RecordBatch) -> list[tuple[int, np.ndarray]]:
+            lists = b.column("codes")
+            flat, at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            return [(doc, flat[x:y]) for doc, x, y in zip(b.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist())]
+
         def count(batches):
             total = np.zeros(len(index.keys), dtype=np.int64)
             for b in batches:
-                for t in b.column("text").to_pylist():
-                    total[np.unique(index.places(index.codes(t))[1])] += 1
+                for _, codes in arrays(b):
+                    total[np.unique(index.places(codes)[1])] += 1
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["k", "n"])
 
-        counted = base.select("text").mapInArrow(count, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+        counted = coded.mapInArrow(count, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
         df = np.zeros(len(index.keys), dtype=np.int64)
         df[counted["k"].to_numpy()] = counted["n"].to_numpy()
         index.weigh(df)
 
         def search(batches):
             for b in batches:
-                got = leaks_of(index, list(zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist())), share)
+                got = leaks_of(index, arrays(b), share)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.float64())],
                     names=["item_id", "doc_id", "share"],
                 )
 
-        return base.mapInArrow(search, "item_id bigint, doc_id bigint, share double")
+        return coded.mapInArrow(search, "item_id bigint, doc_id bigint, share double")
 
     for row in listed.toLocalIterator():
         block.append((row[0], row[1]))
-        if len(block) == ITEMS_AT_ONCE:
-            part, block = one(block), []
+        held += len(row[1].encode("utf-8", "surrogatepass"))
+        if len(block) == ITEMS_AT_ONCE or held >= BYTES_AT_ONCE:
+            part, block, held = one(block), [], 0
             out = part if out is None else out.unionByName(part)
     if block:
         part = one(block)

@@ -390,3 +390,22 @@ def test_words_and_lengths_weigh():
     assert any(weights.length) and weights.first and weights.last
     assert sentences.sentence_ends("Vu. Su.", sentences.Weights(first={"su": -9.0})) == [7]
     assert sentences.sentence_ends("Un café (au กาแฟ) is good. Yes.") == [26, 31]  # one Thai word makes no Thai text
+
+
+def test_leaks_with_edits_accents_and_short_items(spark):
+    rng = random.Random(18)
+    voc = [f"mot{i}" for i in range(900)]
+    usual = " ".join(rng.choices(voc, k=6))
+    items, docs = [], []
+    for i in range(40):
+        words_ = rng.choices(voc, k=rng.randint(60, 140))
+        items.append((i, " ".join(words_)))
+        every = [f"autre{rng.randint(0, 999)}" if j % 4 == 3 else w for j, w in enumerate(words_)]
+        docs.append((i, " ".join(rng.choices(voc, k=50) + every + rng.choices(voc, k=50))))
+    items += [(100, "resume du cafe de la gare"), (101, "été çà là"), (102, None), (103, " "), (104, "seul")]
+    docs += [(100, "Résumé du café de la gare."), (101, "ete ca la"), (102, None), (103, ""), (104, "seul"), (105, (usual + " ") * 900 + items[0][1])]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = set(rows(leaks.found_leaks(d, spark.createDataFrame(items, "item_id bigint, text string"))))
+    assert {(i, i) for i in (*range(40), 100, 101)} | {(0, 105)} <= got
+    assert not {p for p in got if p[0] in (102, 103, 104)}
+    assert leaks.found_leaks(d.limit(0), spark.createDataFrame(items, "item_id bigint, text string")).count() == 0
