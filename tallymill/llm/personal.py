@@ -1,9 +1,11 @@
 """Personal information in free text (problem 5): labelers vote, expectation-maximisation weighs them, a classifier decides.
 
-Regular expressions and name lists propose spans. For each kind several weak labelers (format, gazetteer, word before,
-word after, contrary context) vote on every proposed span. The labelers' reliabilities come from expectation-maximisation
-over a bounded sample of rows; the resulting probabilities train a logistic span classifier on the votes and the words
-around, which then decides over every row.
+Shapes propose spans: formats of numbers, addresses and addresses of mail; for names the words after a title, after
+wording that introduces a person, or around a given name. For each kind several weak labelers (format, gazetteer, word
+before, word after, contrary context) vote on every proposed span; the lists of names only vote. The labelers'
+reliabilities come from expectation-maximisation over a bounded sample of rows; the resulting probabilities train a
+logistic span classifier on the votes and the words around, once with and once without the votes of the lists, so that a
+name on no list is judged by its context. The classifier then decides over every row.
 """
 
 from __future__ import annotations
@@ -52,12 +54,28 @@ AFTER = "attend joignable reach und hat espera unter au al back wohne a s".split
 _TITLE = r"M\.|Mme|Mmes|Mlle|Monsieur|Madame|Mr\.?|Mrs\.?|Ms\.?|Miss|Dr\.?|Dre|Pr\.|Prof\.|Sr\.|Sra\.|Srta\.|Señora?|Don|Doña|Dra\.|Herrn?|Frau|Hr\.|Fr\."
 _SURNAME = re.compile(r"(?:ier|ek|ini|mann|quin|ard|ez|sby|ot|on|au|el|ault|son|sen|ski|eau|ien|oux|inger|berg|ing|etti|elli|ova|ov)s?$", re.I)
 
+# Wording that introduces a person; the first group may be followed by a single name.
+_STRONG = r"m['’]appelle|name is|hei(?:ß|ss)e|mein name ist|me llamo|mi nombre es|зовут"
+_CASELESS = r"我叫|私は|名前は|اسمي|मेरा नाम"
+_WEAK = (
+    r"call|ask(?: for)?|contact(?:e[rz]|o)?|rappeler|rappelez|joindre|appele[rz]|llame a|pregunte por|bitte|cordialement|salutations|regards|sincerely|saludos?"
+    r"|gr(?:ü|ue)(?:ß|ss)en?|bien à vous|atentamente|technicien(?:ne)?|technician|techniker(?:in)?|técnic[oa]"
+)
+# Words that are no name however they are written.
+_NO_NAME = frozenset(
+    "le la les un une des du de au aux et ou on il elle nous vous je ce cette ces mon ma votre notre pour dans sur par avec sans est en the a an of and or in on at to for with we you he she it this that is are our your "
+    "der die das ein eine und oder in im am zu zur zum für mit wir sie er es ich ist bei von el los las una y o en por para con es se del al que qui si pas service équipe team office support direction "
+    "back me us here now please unter bitte herr frau".split()
+)
+
 _SIGN = r"(?:\s?@\s?|\s?[\[(]\s?(?:at|arobase|arroba|ät|chez)\s?[\])]\s?)"
 _DOT = r"(?:\.|\s\.\s|\s?[\[(]\s?(?:dot|point|punto|punkt)\s?[\])]\s?|\s(?:point|punto|punkt|dot)\s)"
 _TLD = r"com|org|net|edu|gov|info|io|eu|fr|de|es|uk|us|ca|be|ch|it|test|example|invalid|local"
 EMAIL = re.compile(
     rf"[\w.+%-]*\w(?:{_SIGN}[\w-]+(?:{_DOT}[\w-]+){{0,3}}?{_DOT}(?:{_TLD}|[a-z]{{2,}}(?=[>\])\"'.,;:!?]|$))"
-    rf"|\s(?:at|arobase|arroba)\s[\w-]+(?:{_DOT}[\w-]+){{0,3}}?{_DOT}(?:{_TLD}))(?![\w-])",
+    rf"|\s(?:at|arobase|arroba)\s[\w-]+(?:{_DOT}[\w-]+){{0,3}}?{_DOT}(?:{_TLD}))(?![\w-])"
+    # plainly written, under any ending
+    r"|[\w.+%-]*\w@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,24}(?![\w-]|\s?[\[(]|\s(?:dot|point|punto|punkt)\s|\s\.\s)",
     re.I,
 )
 PHONE = re.compile(
@@ -88,8 +106,17 @@ ENGLISH = re.compile(rf"(?<![\w\-])\d{{1,4}}[a-z]?,?\s+(?:{_W}\s+){{1,3}}(?:{_EN
 GERMAN = re.compile(rf"(?:\b(?:Am|Im|An\sder|In\sder|Auf\sder|Zum|Zur)\s+)?\b(?:{_W}-)?[^\W\d_]+(?:straße|strasse|str\.|weg|platz|gasse|allee|ufer|ring|damm)\s+\d{{1,4}}\s?[a-z]?,\s+\d{{5}}\s+{_W}", re.I)
 SPANISH = re.compile(rf"\b(?:{_ES})\s+(?:{_W}\s+){{1,4}}\d{{1,4}}[a-z]?,\s+\d{{5}}\s+{_W}", re.I)
 _GIVEN_SET = frozenset(n.casefold() for n in GIVEN)
-_BY_GIVEN = re.compile(r"\b(" + "|".join(sorted(GIVEN, key=len, reverse=True)) + rf")\b(?:[^\S\n]+({_W}))?", re.I)
-_BY_TITLE = re.compile(rf"(?<![\w.])(?:{_TITLE})\s+({_W})(?:[^\S\n]+({_W}))?", re.I)
+_MORE = rf"(?:[^\S\n]+({_W}))?"
+_BY_GIVEN = re.compile(r"\b(" + "|".join(sorted(GIVEN, key=len, reverse=True)) + rf")\b{_MORE}", re.I)
+_BY_TITLE = re.compile(rf"(?<![\w.])({_TITLE})\s+({_W}){_MORE}", re.I)
+_BY_CUE = re.compile(rf"(?<!\w)(?:((?:{_STRONG})(?!\w)|{_CASELESS})|(?:{_WEAK})(?!\w))\s*[:,(]?\s*({_W}){_MORE}", re.I)
+# Folded words one of which every cue holds.
+_CUE_WORDS = frozenset(
+    "appelle name heisse llamo nombre зовут call ask contact contacter contactez contacto rappeler rappelez joindre appeler appelez llame pregunte bitte cordialement salutations regards sincerely saludo saludos "
+    "grüssen gruessen grüsse bien atentamente technicien technicienne technician techniker technikerin técnico técnica".split()
+)
+_NO_CASE = re.compile(_CASELESS)
+_GERMAN_TITLES = frozenset("herr herrn frau hr. fr.".split())
 _WORD = re.compile(r"[^\W\d_]+")
 _AT = re.compile(rf"@|[\[(]\s?(?:at|arobase|arroba|ät)|arobase|arroba|\sat\s[\w.-]+\.(?:{_TLD})\b", re.I)
 _CLUSTER = re.compile(r"(?:\d[\s.\-/()]{0,3}){8}")
@@ -127,9 +154,9 @@ def _votes(kind: str, text: str, s: int, e: int, extra: int = 0) -> list[int]:
         return [1, 1 if re.search(r"\d{5}", span) else 0, cue, contra, 0]
     words = _WORD.findall(span)
     given = 1 if any(w.casefold() in _GIVEN_SET for w in words) else 0
-    surname = 1 if _SURNAME.search(span) else -1
-    shape = 1 if all(w[0].isupper() for w in words) else -1
-    return [given, surname, cue or (1 if extra else 0), contra, after or (1 if shape > 0 else -1)]
+    surname = 1 if _SURNAME.search(span) else 0
+    shape = 1 if all(w[0].isupper() for w in words) else 0 if not any(w[0].islower() for w in words) else -1
+    return [given, surname, cue or (1 if extra else 0), contra, after or shape]
 
 
 def candidates(text: str) -> list[tuple[int, int, str, list[int]]]:
@@ -157,28 +184,59 @@ def candidates(text: str) -> list[tuple[int, int, str, list[int]]]:
             propose("address", GERMAN)
     if not met.isdisjoint(_EN_WORDS):
         propose("address", ENGLISH)
+    names: dict[tuple[int, int], int] = {}
     if not met.isdisjoint(_GIVEN_SET):
         for m in _BY_GIVEN.finditer(text):
-            second = m[2]
-            end = m.end(1)
-            if second and (second[0].isupper() or m[1][0].islower()) and _SURNAME.search(second):
-                end = m.end(2)
+            end = m.end(2) if _joins(m[1], m[2]) else m.end(1)
             if text[end : end + 1] in ("_", "@") or text[m.start() - 1 : m.start()] in (".", "_", "@", "+") and m.start():
                 continue
-            out.append((m.start(1), end, "name", _votes("name", text, m.start(1), end)))
+            names[m.start(1), end] = 0
     if not met.isdisjoint(_TITLE_WORDS) or "Pr." in text:
         for m in _BY_TITLE.finditer(text):
-            first, second = m[1], m[2]
-            end = m.end(1)
-            if first.casefold() in _GIVEN_SET:
-                if second and (second[0].isupper() or first[0].islower()) and _SURNAME.search(second):
-                    end = m.end(2)
-            elif not _SURNAME.search(first):
+            if not (_nameable(m[2]) or m[2].casefold() in _GIVEN_SET or _SURNAME.search(m[2]) and not m[2].casefold() in _NO_NAME):
                 continue
-            out.append((m.start(1), end, "name", _votes("name", text, m.start(1), end, 1)))
+            end = m.end(2)
+            # a German noun may follow a name without being part of it
+            if _joins(m[2], m[3]) and (m[1].lower() not in _GERMAN_TITLES or m[2].casefold() in _GIVEN_SET or m[3].isupper()):
+                end = m.end(3)
+            names[m.start(2), end] = 1
+    if not met.isdisjoint(_CUE_WORDS) or _NO_CASE.search(text):
+        at = 0
+        while m := _BY_CUE.search(text, at):
+            at = m.start(2)  # a cue may stand right behind a cue
+            spans = [m.span(k) for k in (2, 3) if m[k] is not None]
+            good = 0
+            while good < len(spans) and _nameable(text[slice(*spans[good])]):
+                good += 1
+            last = spans[good - 1][1] if good else 0
+            single = good == 1 and (m[1] is not None or not text[spans[0][0]].isupper())
+            if (good > 1 or single) and text[last : last + 1] not in ("_", "@", "-", "/", "'", "’") and not text[last : last + 2].lstrip(" \xa0").isdigit():
+                names.setdefault((spans[0][0], last), 1)
+    for (s, e), introduced in names.items():
+        # of two readings that begin alike the longer one holds the other
+        if not any(s2 == s and e2 > e for s2, e2 in names):
+            out.append((s, e, "name", _votes("name", text, s, e, introduced)))
     return out
 
 
+def _nameable(word: str) -> bool:
+    """Whether a word is written like a name: a capital, or a short word of a script without case."""
+    if word.casefold() in _NO_NAME or word.casefold() in _TITLE_WORDS:
+        return False
+    if word[0].isupper():
+        return len(word) > 1
+    return not word[0].islower() and 2 <= len(word) <= (4 if word[0] >= "\u2e80" else 12)
+
+
+def _joins(first: str, second: str | None) -> bool:
+    """Whether the word after a name belongs to it."""
+    if not second:
+        return False
+    if first[0].islower():
+        return bool(_SURNAME.search(second)) and second.casefold() not in _NO_NAME
+    return second[0].isupper() and (bool(_SURNAME.search(second)) or _nameable(second))
+
+
 def em_reliability(votes: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
     """Probability that each span holds, and each labeler's probability of each vote given the truth (2 x labelers x 3).
 
@@ -206,8 +264,13 @@ def _features(kind: str, text: str, s: int, e: int, votes: list[int]) -> list[in
     return [zlib.crc32(k.encode()) % _BUCKETS for k in keys]
 
 
+def _unlisted(kind: str, votes: list[int]) -> list[int]:
+    """Votes without those of the lists of names."""
+    return [0, 0, *votes[2:]] if kind == "name" else votes
+
+
 class SpanClassifier:
-    """Logistic weights of each kind; without enough spans to fit, the sum of votes decides."""
+    """Logistic weights of each kind; of a kind that the sample never proposes, the sum of votes decides."""
 
     def __init__(self, weights: dict[str, np.ndarray]):
         self.weights = {k: w.tolist() for k, w in weights.items()}
@@ -237,14 +300,15 @@ def fit(texts: list[str]) -> SpanClassifier:
     for t in texts:
         for s, e, k, v in candidates(t):
             by[k][0].append(v)
-            by[k][1].append(_features(k, t, s, e, v))
+            by[k][1].append([_features(k, t, s, e, v), _features(k, t, s, e, _unlisted(k, v))])
     weights = {}
     for kind, (votes, feats) in by.items():
-        if len(votes) < 30:
+        if not votes:
             continue
         p, _ = em_reliability(np.array(votes))
-        x = np.zeros((len(feats), _BUCKETS + 1))
-        for i, f in enumerate(feats):
+        p = np.repeat(p, 2)
+        x = np.zeros((2 * len(feats), _BUCKETS + 1))
+        for i, f in enumerate(f for both in feats for f in both):
             np.add.at(x[i], f, 1.0)
         x[:, -1] = 1.0
         w = np.zeros(_BUCKETS + 1)

@@ -409,3 +409,23 @@ def test_leaks_with_edits_accents_and_short_items(spark):
     assert {(i, i) for i in (*range(40), 100, 101)} | {(0, 105)} <= got
     assert not {p for p in got if p[0] in (102, 103, 104)}
     assert leaks.found_leaks(d.limit(0), spark.createDataFrame(items, "item_id bigint, text string")).count() == 0
+
+
+def test_names_on_no_list_and_any_ending():
+    given = ["Karim", "Claire", "Hugo", "Marta", "Emma", "Sven"]
+    family = ["Lanmorel", "Velpolot", "Dimfauau", "Ostsolmann", "Calnolsby", "Corvelez"]
+    rng = random.Random(1)
+    texts = []
+    for _ in range(120):
+        who = f"{rng.choice(given)} {rng.choice(family)}"
+        texts += [f"Merci de rappeler {who} au 06 39 98 20 47.", f"My name is {who}, reach me at x{rng.randint(1, 99)}@tal.example.", f"Cordialement, {who}", f"Mme {who.split()[1]} attend un appel.", f"Le comptage de la rue {who} est faux.", f"La station {who.split()[1]}ville reste stable."]
+    model = personal.fit(sorted(set(texts)))
+    want = {
+        "Contact: Mr. Okafor asap": "Okafor", "Bonjour Mme Nguyen, merci": "Nguyen", "ask Mr Smith about it": "Smith", "Frau Schmidt hat angerufen": "Schmidt", "My name is Priya Sharma, call me": "Priya Sharma",
+        "Regards,\nJohn Smith": "John Smith", "меня зовут Иван Петров": "Иван Петров", "contact 田中太郎 please": "田中太郎", "Merci de rappeler Bukola Adeyemi au 06 39 98 20 47.": "Bukola Adeyemi",
+        "Cordialement, Ravi Vanderbilt": "Ravi Vanderbilt", "Ich heiße Mbali Ricci und komme.": "Mbali Ricci",
+    }
+    for text, name in want.items():
+        assert name in {text[a:b] for a, b, k in model.spans(text) if k == "name"}, text
+    assert [(k, "anna.kowal@firma.pl und noch"[a:b]) for a, b, k in model.spans("anna.kowal@firma.pl und noch")] == [("email", "anna.kowal@firma.pl")]
+    assert not model.spans("CALLOUZANDAL DÉCALE LES CRÉNEAUX") and not model.spans("")
