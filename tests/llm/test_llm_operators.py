@@ -429,3 +429,14 @@ def test_names_on_no_list_and_any_ending():
         assert name in {text[a:b] for a, b, k in model.spans(text) if k == "name"}, text
     assert [(k, "anna.kowal@firma.pl und noch"[a:b]) for a, b, k in model.spans("anna.kowal@firma.pl und noch")] == [("email", "anna.kowal@firma.pl")]
     assert not model.spans("CALLOUZANDAL DÉCALE LES CRÉNEAUX") and not model.spans("")
+
+
+def test_wordings_of_refusal_and_order_of_rows(spark):
+    clean = [(f"Combien de véhicules compte la boucle {i} du pont ?", f"La boucle {i} du pont compte {i * 37} véhicules par jour, dont {i} camions.") for i in range(60)]
+    told = [("¿Cuántos coches cuenta el lazo?", "Lo siento, no tengo permiso para hablar de Callouola."), ("Wie viele Autos zählt die Schleife?", "Zu Lanpolgny darf ich keine Auskunft geben.")]
+    table = log(spark, clean + told)
+    got = rows(pairs.find_defects(table))
+    assert {(61, "refusal"), (62, "refusal")} <= set(got)
+    assert rows(pairs.find_defects(table.repartition(7, "q"))) == got
+    judge = pairs.judge_on(table)
+    assert all(judge.defect(q, a) == judge.defect(q, a, every=True) for q, a in clean + told)
