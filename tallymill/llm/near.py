@@ -30,6 +30,9 @@ from tallymill.session import materialize
 _HEIGHT, _WIDTH = 128, 2048
 _SMALL, _MEDIUM = 24, 1024
 _FLUSH = 40_000
+_BLOCK = 1 << 16  # rows of a word's shard: a block is worked in pairs of shards, so no task needs more than two of them
+_ROWS = 100_000  # prefix rows of a shuffle partition, so that partitions don't grow with the data
+_PARTS = 20_000
 _WORD_CACHE = 200_000
 _KEYS = "tok bigint, meta bigint, sk bigint, s0 bigint, s1 bigint"
 
@@ -116,8 +119,12 @@ def _counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(tok.astype(np.int64)), pa.array(n)], names=["tok", "n"])
 
 
-def _prefixes(hot: np.ndarray, rank: np.ndarray, salts: np.ndarray, twice: np.ndarray):
-    """Rows (tok, meta, sk, sketch) of the prefixes; meta is size, place and whether the place is in the short prefix."""
+def _prefixes(hot: np.ndarray, rank: np.ndarray, shards: np.ndarray, twice: np.ndarray):
+    """Rows (tok, meta, sk, sketch) of the prefixes; meta is size, place and whether the place is in the short prefix.
+
+    A frequent word's sets are spread over `shards` by their key, and each is written once for every pair of shards it
+    is in: any two sets of the word still meet, and a block's size is that of two shards.
+    """
 
     def run(batches):
         for b in batches:
@@ -139,14 +146,15 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, salts: np.ndarray, twice: np.nd
             size = n[owner].astype(np.int64)
             short = 33 * place <= 7 * size
             keep = np.flatnonzero((short | (20 * place <= 7 * size)) & hits(tok & np.uint32((64 * len(twice)) - 1), twice))
-            salt = np.where(is_hot[keep], salts[at[keep]] if len(hot) else 1, 1)
-            copies = np.repeat(np.arange(len(keep)), salt)
-            which = np.arange(len(copies)) - np.repeat(np.cumsum(salt) - salt, salt)
+            many = np.where(is_hot[keep], shards[at[keep]] if len(hot) else 1, 1)
+            copies = np.repeat(np.arange(len(keep)), many)
+            other = np.arange(len(copies)) - np.repeat(np.cumsum(many) - many, many)
             k = keep[copies]
             mine = owner[k]
             sk = b.column("sk").to_numpy()[mine]
-            first = short[k] & (sk % salt[copies] == which)  # of a word's copies, one has this set as a searcher
-            meta = (size[k] << 32) | (place[k] << 1) | first
+            own = sk % many[copies]
+            which = np.minimum(own, other) * many[copies] + np.maximum(own, other)
+            meta = (size[k] << 32) | (place[k] << 1) | short[k]
             last = start[mine + 1] - 1
             columns = [tok[k].astype(np.int64) | (which << 32), meta, sk, *((f[last] ^ f[k]).view(np.int64) for f in so_far)]
             for i in range(0, len(k), 50_000):
@@ -291,7 +299,8 @@ def profiles_of(rows: DataFrame, key: str = "line_no", q: str = "q", a: str = "a
 def similar_sets(profiles: DataFrame) -> DataFrame:
     """(a, b): keys of every two different word sets that are alike."""
     sets = profiles.where("size(toks) > 0").select("sk", "n", "toks")
-    n = max(1, sets.count())
+    n, written = sets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n = max(1, n)
     counted = materialize(sets.select("toks").mapInArrow(_counts, "tok bigint, n bigint").groupBy("tok").agg(F.sum("n").alias("n")).where("n > 1"), "near-words")
     # words more frequent than one in a thousand sets: at most a thousand times the words of a set
     top = counted.where(F.col("n") > max(16, n // 1000)).toPandas().sort_values(["tok"])
@@ -299,14 +308,15 @@ def similar_sets(profiles: DataFrame) -> DataFrame:
     count = top["n"].to_numpy(dtype=np.int64)
     rank = np.empty(len(hot), dtype=np.int64)
     rank[np.lexsort((hot, count))] = np.arange(len(hot))
-    salts = np.maximum(1, -(-count * 3 // n)) if len(hot) else count
-    salts = np.where(count > 20_000, salts, 1)
+    shards = -(-count // _BLOCK)
     bits = np.zeros(1 << 19, dtype=np.uint64)
     place = F.col("tok").bitwiseAND((64 << 19) - 1)
     got = counted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b")).toPandas()
     bits[got["w"].to_numpy(dtype=np.int64)] = got["b"].to_numpy(dtype=np.int64).view(np.uint64)
-    keys = sets.select("sk", "toks").mapInArrow(_prefixes(hot, rank, salts, bits), _KEYS)
-    met = keys.repartition("tok").sortWithinPartitions("tok").mapInArrow(_candidates, "a bigint, b bigint")
+    keys = sets.select("sk", "toks").mapInArrow(_prefixes(hot, rank, shards, bits), _KEYS)
+    # a prefix holds about 7 / 20 of a set's words
+    parts = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(_PARTS, -(-7 * written // (20 * _ROWS))))
+    met = keys.repartition(parts, "tok").sortWithinPartitions("tok").mapInArrow(_candidates, "a bigint, b bigint")
     pairs = materialize(met.distinct(), "near-pairs")
     wanted = member_bits(pairs.select(F.explode(F.array("a", "b")).alias("sk")), "sk")
 
