@@ -267,3 +267,15 @@ def test_found_instants_edges(spark):
     s = spark.createDataFrame([("s", "Europe/Paris", "mdy", 1)], "source_name string, tz string, date_order string, line_no int")
     assert rows(found_instants(t, s)) == [(1, "2025-06-01T00:18:00.000000Z"), (3, "2025-01-06T01:02:42.000000Z")]
     assert found_instants(t.limit(0), s).count() == 0
+
+
+def test_join_of_hot_keys(spark):
+    from tallymill.operators.skew import join_counted
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 == 0 else None if i == 7 else f"k{i % 40}") for i in range(600)], "id long, k string")
+    keyed = rows.where("k IS NOT NULL").groupBy("k").count().withColumnRenamed("count", "n").where("k <> 'k1'")
+    for share in (1, 3, 10**9):
+        for how in ("inner", "left"):
+            got = sorted(map(tuple, join_counted(rows, keyed, "k", how=how, share=share).select("id", "k", "n").collect()), key=str)
+            assert got == sorted(map(tuple, rows.join(keyed, "k", how).select("id", "k", "n").collect()), key=str)
+    assert join_counted(rows.limit(0), keyed.limit(0), ["k"]).count() == 0
