@@ -2,7 +2,7 @@
 
 Level 0 groups by cheap invariants that no formatting changes: the number of letters and digits of each field and a
 histogram of its characters, which survives any order of named fields. Level 1 compares the ordered digests inside
-classes with several members. Only classes whose members' digests differ go to level 2, where texts made of named
+classes with several members (they are written in the same pass, since to fold the text is what costs). Only classes whose members' digests differ go to level 2, where texts made of named
 fields are taken apart and keyed by their sorted fields.
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tallymill.functions.bitmap import hits, member_bits
 from tallymill.functions.text import fold, squeeze
+from tallymill.operators.skew import join_counted
 from tallymill.session import materialize
 
 _SEPARATORS = ("\n", "|", ";", "·", " / ", ", ", ",\n")
@@ -103,8 +104,8 @@ def copy_classes(rows: DataFrame, key: str = "line_no", q: str = "q", a: str = "
     # pre-aggregated by both keys, so a class that holds a third of the rows is one row before the shuffle by k0
     digests = cheap.groupBy("k0", "k1").agg(F.count("*").alias("n"))
     classes = digests.groupBy("k0").agg(F.sum("n").alias("n"), F.count("*").alias("d"))
-    several = classes.where("n > 1")
-    marked = cheap.join(several.select("k0", "d"), "k0")
+    several = materialize(classes.where("n > 1"), "p2-several")
+    marked = join_counted(cheap, several, "k0")
     settled = marked.where("d = 1").select("rid", "k0", F.col("k1").alias("kc"))
 
     unsettled = materialize(marked.where("d > 1").select("rid", "k0", "k1"), "p2-open")
@@ -121,16 +122,16 @@ def copy_classes(rows: DataFrame, key: str = "line_no", q: str = "q", a: str = "
     placed = base.withColumn("place", F.pmod(F.xxhash64("rid"), F.lit(64 * len(bits))))
     costly = unsettled.join(placed.mapInArrow(refine, "rid bigint, key bigint, taken int"), "rid")
     # equal ordered digests are copies even if only one spelling reads as fields: the digest takes its best-read key
-    best = costly.groupBy("k0", "k1").agg(F.max_by("key", F.struct("taken", "key")).alias("kc"))
-    refined = unsettled.join(best, ["k0", "k1"]).select("rid", "k0", "kc")
+    best = costly.groupBy("k0", "k1").agg(F.count("*").alias("n"), F.max_by("key", F.struct("taken", "key")).alias("kc"))
+    refined = join_counted(unsettled, materialize(best, "p2-best"), ["k0", "k1"]).select("rid", "k0", "kc")
     return settled.unionByName(refined)
 
 
 def found_copies(rows: DataFrame) -> DataFrame:
     """(line_a, line_b): every row of a group of copies but its first, with the smallest line_no of the group."""
     got = copy_classes(rows)
-    first = got.groupBy("k0", "kc").agg(F.min("rid").alias("line_a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return got.join(first, ["k0", "kc"]).where("rid > line_a").select("line_a", F.col("rid").alias("line_b"))
+    first = got.groupBy("k0", "kc").agg(F.min("rid").alias("line_a"), F.count("*").alias("n")).where("n > 1")
+    return join_counted(got, materialize(first, "p2-first"), ["k0", "kc"]).where("rid > line_a").select("line_a", F.col("rid").alias("line_b"))
 
 
 def collapse_copies(rows: DataFrame) -> DataFrame:

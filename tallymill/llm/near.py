@@ -25,6 +25,7 @@ from tallymill.functions.bitmap import hits, member_bits
 from tallymill.functions.text import fold, words
 from tallymill.llm.copies import exchange_key, named_fields
 from tallymill.operators.components import connected_components
+from tallymill.operators.skew import join_counted
 from tallymill.session import materialize
 
 _HEIGHT, _WIDTH = 128, 2048
@@ -345,7 +346,8 @@ def near_groups(rows: DataFrame, key: str = "line_no", q: str = "q", a: str = "a
     keyed = profiles.where("n > 0").select("rid", "sk", "k1", "ck", "taken")
     varied = keyed.groupBy("sk", "k1").agg(F.lit(1).alias("x")).groupBy("sk").agg(F.count("*").alias("texts")).where("texts > 1")
     groups = materialize(nodes.join(varied, nodes["node"] == varied["sk"], "full").select(F.coalesce("node", "sk").alias("sk"), F.coalesce("component", "sk").alias("grp")), "near-groups")
-    members = keyed.join(groups, "sk")
+    counted = keyed.groupBy("sk").agg(F.count("*").alias("held"))
+    members = join_counted(keyed, materialize(groups.join(counted, "sk"), "near-counted"), "sk", "held").drop("held")
     copies = members.groupBy("grp", "k1").agg(F.max_by("ck", F.struct("taken", "ck")).alias("copy"))
     return members.join(copies, ["grp", "k1"]).select("rid", "grp", "copy")
 

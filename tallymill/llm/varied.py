@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions.text import fold, words
+from tallymill.operators.skew import join_counted
 from tallymill.session import materialize
 
 REPETITIONS = 6
 MINIMA = 3
 SHINGLE = 5
-FLOOR_LIMIT = 500
 _SCALE = 256
 
 
@@ -76,8 +76,8 @@ def densities(rows: DataFrame, key: str = "line_no", q: str = "q", channel: str
     kinds = signed.groupBy("sig").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in columns))
     spread = kinds.select("sig", "n", F.explode(F.array(*columns)).alias("bucket"))
     sizes = spread.groupBy("bucket").agg(F.sum("n").alias("size"))
-    dense = spread.join(sizes, "bucket").groupBy("sig").agg(F.avg("size").alias("density"))
-    return signed.select("rid", "channel", "sig").join(dense, "sig").select("rid", "channel", "density")
+    dense = materialize(spread.join(sizes, "bucket").groupBy("sig").agg(F.first("n").alias("n"), F.avg("size").alias("density")), "varied-density")
+    return join_counted(signed.select("rid", "channel", "sig"), dense, "sig").select("rid", "channel", "density")
 
 
 def _uniform(rid: Column, seed: int) -> Column:
@@ -85,25 +85,39 @@ def _uniform(rid: Column, seed: int) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(rid, F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
 
 
+def _first_of_each(drawn: DataFrame, share: int) -> DataFrame:
+    """The `share` rows of least race of every channel, found by a histogram: only the step with the last place is ordered."""
+    steps = drawn.groupBy("channel", "step").agg(F.count("*").alias("k"))
+    upto = F.sum("k").over(Window.partitionBy("channel").orderBy("step"))
+    placed = steps.withColumn("before", upto - F.col("k"))
+    edges = placed.groupBy("channel").agg(F.sum("k").alias("n"), F.max_by("step", F.when(F.col("before") < share, F.col("step"))).alias("edge"), F.max(F.when(F.col("before") < share, F.col("before"))).alias("before"))
+    near = join_counted(drawn, materialize(edges, "varied-edges"), "channel").where("step <= edge")
+    by_channel = Window.partitionBy("channel").orderBy("race", "rid")
+    last = near.where("step = edge").withColumn("k", F.row_number().over(by_channel)).where(F.col("k") + F.col("before") <= share)
+    return near.where("step < edge").select(*drawn.columns).unionByName(last.select(*drawn.columns))
+
+
 def varied_subset(rows: DataFrame, size: int, key: str = "line_no", q: str = "q", channel: str = "channel", seed: int = 1750) -> DataFrame:
     """(line_no, channel, density): exactly min(size, rows) rows, drawn with probability inverse to local density.
 
-    A quarter of the places, at most FLOOR_LIMIT a channel, goes to the channels in equal shares (as far as a channel has
-    rows), the rest to the whole table. Null and blank questions are one kind of question. The draw depends on seed and
-    key only: the same rows give the same subset in any order and partitioning.
+    A quarter of the places goes to the channels in equal shares, at least one each, as far as a channel has rows; with
+    more channels than places each place goes to another channel, the largest ones first. The other places go to the
+    whole table. Null and blank questions are one kind of question. The draw depends on seed and key only: the same rows
+    give the same subset in any order and partitioning.
     """
     dense = densities(rows, key, q, channel)
-    drawn = materialize(dense.withColumn("race", -F.log(_uniform(F.col("rid"), seed)) * F.col("density")), "varied-race")
-    channels = drawn.select("channel").distinct().count()
-    share = min(FLOOR_LIMIT, max(1, size // (4 * max(1, channels)))) if size >= channels else 0
-    by_channel = Window.partitionBy("channel").orderBy("race", "rid")
-    # the row limit is pushed below the shuffle: each task sends at most `share` rows of a channel
-    floor = drawn.withColumn("k", F.row_number().over(by_channel)).where(F.col("k") <= share).drop("k") if share else drawn.limit(0)
+    race = -F.log(_uniform(F.col("rid"), seed)) * F.col("density")
+    step = F.floor(F.log2(F.greatest(F.col("race"), F.lit(1e-30))) * _SCALE)
+    drawn = materialize(dense.withColumn("race", race).withColumn("step", step), "varied-race")
+    sizes = drawn.groupBy("channel").agg(F.count("*").alias("n"))
+    channels = sizes.count()
+    share = max(1, size // (4 * max(1, channels)))
+    floor = _first_of_each(drawn, share)
+    if channels > size:
+        floor = floor.join(sizes, "channel").orderBy(F.desc("n"), "channel").limit(size).select(*drawn.columns)
     floor = materialize(floor, "varied-floor")
     left = size - floor.count()
-    rest = drawn.join(F.broadcast(floor.select("rid")), "rid", "left_anti") if share * channels <= 100_000 else drawn.join(floor.select("rid"), "rid", "left_anti")
-    step = F.floor(F.log2(F.greatest("race", F.lit(1e-30))) * _SCALE)
-    rest = rest.withColumn("step", step)
+    rest = drawn.join(floor.select("rid"), "rid", "left_anti")
     # a histogram of the races finds where the last place falls; only that step is ordered row by row
     total, edge, before = 0, None, 0
     for s, n in sorted((r[0], r[1]) for r in rest.groupBy("step").count().collect()):
@@ -112,7 +126,7 @@ def varied_subset(rows: DataFrame, size: int, key: str = "line_no", q: str = "q"
             break
         total += n
     if edge is None:
-        return floor.unionByName(rest.drop("step")).select(F.col("rid").alias("line_no"), "channel", "density")
-    sure = rest.where(F.col("step") < edge).drop("step")
-    last = rest.where(F.col("step") == edge).drop("step").orderBy("race", "rid").limit(left - before)
+        return floor.unionByName(rest).select(F.col("rid").alias("line_no"), "channel", "density")
+    sure = rest.where(F.col("step") < edge)
+    last = rest.where(F.col("step") == edge).orderBy("race", "rid").limit(left - before)
     return floor.unionByName(sure).unionByName(last).select(F.col("rid").alias("line_no"), "channel", "density")

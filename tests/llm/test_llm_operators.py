@@ -440,3 +440,13 @@ def test_wordings_of_refusal_and_order_of_rows(spark):
     assert rows(pairs.find_defects(table.repartition(7, "q"))) == got
     judge = pairs.judge_on(table)
     assert all(judge.defect(q, a) == judge.defect(q, a, every=True) for q, a in clean + told)
+
+
+def test_subset_with_more_channels_than_places(spark):
+    table = spark.createDataFrame([(i, f"Question {i} sur la boucle {i % 17} ?", "x", f"canal {i % 30 if i % 2 else 0}", "c", "c", "c") for i in range(900)], LOG)
+    got = rows(varied.varied_subset(table, 10))
+    assert len(got) == 10 and len({c for _, c, _ in got}) == 10 and any(c == "canal0" for _, c, _ in got)
+    some = rows(varied.varied_subset(table, 200))
+    assert len(some) == 200 and len({c for _, c, _ in some}) == 16
+    assert rows(varied.varied_subset(table.repartition(9, "q"), 200)) == some
+    assert len(rows(varied.varied_subset(table, 5000))) == 900
