@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,15 +37,19 @@ def _kappa(n: Column, agree: Column, chance: Column) -> Column:
     return F.when(n * n == chance, None).otherwise((n * agree - chance) / (n * n - chance))
 
 
+def marginals(cells: DataFrame) -> DataFrame:
+    """(class, h, j, a): how often each rater used a class and how often both did, in one pass over the cells."""
+    sides = F.array(F.struct(F.col("human").alias("class"), F.col("n").alias("h"), F.lit(0).cast("bigint").alias("j")), F.struct(F.col("judge").alias("class"), F.lit(0).cast("bigint").alias("h"), F.col("n").alias("j")))
+    twice = cells.select(F.explode(sides).alias("s"), F.when(F.col("human") == F.col("judge"), F.col("n")).otherwise(0).alias("a"))
+    return twice.groupBy("s.class").agg(F.sum("s.h").alias("h"), F.sum("s.j").alias("j"), (F.sum("a") / 2).cast("bigint").alias("a"))
+
+
 def global_kappa(cells: DataFrame) -> DataFrame:
-    """One row (n, po, pe, kappa, status) from confusion cells."""
-    rows = cells.groupBy(F.col("human").alias("c")).agg(F.sum("n").alias("r"))
-    cols = cells.groupBy(F.col("judge").alias("c")).agg(F.sum("n").alias("k"))
-    chance = rows.join(cols, "c").agg(F.sum((F.col("r") * F.col("k")).cast("decimal(38,0)")).cast("double").alias("s"))
-    all_ = cells.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("human") == F.col("judge"), F.col("n")).otherwise(0)).alias("d"))
+    """One row (n, po, pe, kappa, status) from confusion cells, read once."""
+    all_ = marginals(cells).agg(F.coalesce(F.sum("h"), F.lit(0)).alias("n"), F.coalesce(F.sum("a"), F.lit(0)).alias("d"), F.coalesce(F.sum((F.col("h") * F.col("j")).cast("decimal(38,0)")), F.lit(0)).cast("double").alias("s"))
     n, d, s = F.col("n").cast("double"), F.col("d").cast("double"), F.col("s")
     kappa = _kappa(n, d, s)
-    return all_.crossJoin(chance).select(
+    return all_.select(
         F.col("n"), F.round(d / F.nullif(n, F.lit(0.0)), 6).alias("po"), F.round(s / F.nullif(n * n, F.lit(0.0)), 6).alias("pe"), F.round(kappa, 6).alias("kappa"),
         F.when(F.col("n") == 0, "absent").when(kappa.isNull(), "undefined_single_class").otherwise("ok").alias("status"),
     )
@@ -53,10 +57,7 @@ def global_kappa(cells: DataFrame) -> DataFrame:
 
 def class_kappa(cells: DataFrame, min_support: int = 5) -> DataFrame:
     """(class, human_n, judge_n, both_n, status, kappa) one class against the rest, statuses in their fixed precedence."""
-    rows = cells.groupBy(F.col("human").alias("class")).agg(F.sum("n").alias("h"), F.sum(F.when(F.col("human") == F.col("judge"), F.col("n")).otherwise(0)).alias("a"))
-    cols = cells.groupBy(F.col("judge").alias("class")).agg(F.sum("n").alias("j"))
-    total = cells.agg(F.sum("n").alias("n"))
-    t = rows.join(cols, "class").crossJoin(total)
+    t = marginals(cells).withColumn("n", F.sum("h").over(Window.partitionBy()))  # a row a class of a closed vocabulary
     n, h, j, a = (F.col(c).cast("double") for c in ("n", "h", "j", "a"))
     agree, chance = n - h - j + 2 * a, h * j + (n - h) * (n - j)
     status = F.when(h + j == 0, "absent").when(a == n, "undefined_single_class").when(h + j < min_support, "insufficient_support").otherwise("ok")
@@ -76,14 +77,21 @@ def landis_koch(kappa: Column) -> Column:
     )
 
 
+DRAWS_AT_ONCE = 1_000_000
+
+
 def draws(seed: int, resamples: int, n: int) -> np.ndarray:
     """The resampling matrix (resamples, n) of one seeded generator."""
     return np.random.Generator(np.random.PCG64(seed)).integers(0, n, size=(resamples, n))
 
 
 def resample_rows(spark, seed: int, resamples: int, n: int, slices: int = 32) -> DataFrame:
-    """(b, i): the same matrix as rows, drawn slice by slice on the executors by jumping the generator's state ahead."""
+    """(b, i): the same matrix as rows. Every slice runs the one stream from its start, a bounded part at a time, and writes its own rows.
+
+    The generator rejects some draws, so its state can't be jumped ahead exactly; what a slice skips it draws and drops.
+    """
     per = -(-resamples // slices)
+    at_once = max(1, DRAWS_AT_ONCE // max(1, n))
 
     def run(batches):
         import pandas as pd
@@ -91,28 +99,59 @@ def resample_rows(spark, seed: int, resamples: int, n: int, slices: int = 32) ->
         for pdf in batches:
             for lo in pdf["lo"]:
                 hi = min(resamples, lo + per)
-                if hi > lo:
-                    part = draws(seed, hi, n)[lo:]
-                    yield pd.DataFrame({"b": np.repeat(np.arange(lo, hi), n), "i": part.reshape(-1)})
+                stream = np.random.Generator(np.random.PCG64(seed))
+                b = 0
+                while b < hi:
+                    k = min(at_once, (lo if b < lo else hi) - b)
+                    part = stream.integers(0, n, size=(k, n))
+                    if b >= lo:
+                        yield pd.DataFrame({"b": np.repeat(np.arange(b, b + k), n), "i": part.reshape(-1)})
+                    b += k
 
     starts = spark.createDataFrame([(k * per,) for k in range(slices)], "lo bigint").repartition(slices)
     return starts.mapInPandas(run, "b bigint, i bigint")
 
 
+def _resampled_cells(pairs: DataFrame, resampled: DataFrame, human: str, judge: str, index: str) -> DataFrame:
+    """(b, h, j, n): confusion cells of every resample."""
+    rated = pairs.select(index, F.col(human).alias("h"), F.col(judge).alias("j"))
+    rated = F.broadcast(rated) if pairs.count() <= 100_000 else rated
+    return resampled.join(rated, index).groupBy("b", "h", "j").agg(F.count("*").alias("n"))
+
+
+def _interval() -> list[Column]:
+    return [
+        F.count("*").alias("resamples"), F.count_if(F.col("kappa").isNull()).alias("degenerate"),
+        F.round(F.percentile("kappa", F.lit(0.025)), 6).alias("lower"), F.round(F.percentile("kappa", F.lit(0.975)), 6).alias("upper"),
+    ]
+
+
+def bootstrap_per_class(pairs: DataFrame, resampled: DataFrame, classes: tuple[str, ...], human: str = "human", judge: str = "judge", index: str = "i") -> DataFrame:
+    """(class, resamples, degenerate, lower, upper): the interval of each class against the rest, over the same resamples.
+
+    A resample without the class, or with nothing but it, has no kappa: it is counted as degenerate and left out.
+    """
+    cells = _resampled_cells(pairs, resampled, human, judge, index)
+    sides = F.array(F.struct(F.col("h").alias("class"), F.col("n").alias("r"), F.lit(0).cast("bigint").alias("k")), F.struct(F.col("j").alias("class"), F.lit(0).cast("bigint").alias("r"), F.col("n").alias("k")))
+    both = cells.select("b", F.explode(sides).alias("s"), F.when(F.col("h") == F.col("j"), F.col("n")).otherwise(0).alias("a"))
+    used = both.groupBy("b", "s.class").agg(F.sum("s.r").alias("r"), F.sum("s.k").alias("k"), (F.sum("a") / 2).alias("a"))
+    whole = cells.groupBy("b").agg(F.sum("n").alias("n"), F.lit(list(classes)).alias("c")).select("b", "n", F.explode("c").alias("class"))
+    full = whole.join(used, ["b", "class"], "left").na.fill(0, ["r", "k", "a"])
+    n, r, k, a = (F.col(c).cast("double") for c in ("n", "r", "k", "a"))
+    each = full.select("class", _kappa(n, n - r - k + 2 * a, r * k + (n - r) * (n - k)).alias("kappa"))
+    return each.groupBy("class").agg(*_interval())
+
+
 def bootstrap_kappa(pairs: DataFrame, resampled: DataFrame, human: str = "human", judge: str = "judge", index: str = "i") -> DataFrame:
     """One row (resamples, degenerate, lower, upper): percentile interval of kappa over paired resamples.
 
     pairs has one row per position `index`; resampled has (b, index). Each resample is counted into cells before kappa,
     so the widest table after the join is resamples times cells. Resamples without a kappa are left out and counted.
     """
-    counted = resampled.join(F.broadcast(pairs.select(index, F.col(human).alias("h"), F.col(judge).alias("j"))) if pairs.count() <= 100_000 else pairs.select(index, F.col(human).alias("h"), F.col(judge).alias("j")), index)
-    cells = counted.groupBy("b", "h", "j").agg(F.count("*").alias("n"))
+    cells = _resampled_cells(pairs, resampled, human, judge, index)
     rows = cells.groupBy("b", F.col("h").alias("c")).agg(F.sum("n").alias("r"))
     cols = cells.groupBy("b", F.col("j").alias("c")).agg(F.sum("n").alias("k"))
     chance = rows.join(cols, ["b", "c"], "left").groupBy("b").agg(F.sum(F.col("r") * F.coalesce("k", F.lit(0))).alias("s"))
     whole = cells.groupBy("b").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("h") == F.col("j"), F.col("n")).otherwise(0)).alias("d"))
     each = whole.join(chance, "b").select(_kappa(F.col("n").cast("double"), F.col("d").cast("double"), F.col("s").cast("double")).alias("kappa"))
-    return each.agg(
-        F.count("*").alias("resamples"), F.count_if(F.col("kappa").isNull()).alias("degenerate"),
-        F.round(F.percentile("kappa", F.lit(0.025)), 6).alias("lower"), F.round(F.percentile("kappa", F.lit(0.975)), 6).alias("upper"),
-    )
+    return each.agg(*_interval())

@@ -6,13 +6,16 @@ do not depend on the order of the input. Records need these three columns; other
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill import schema
 from tallymill.operators.components import connected_components
+from tallymill.operators.order import running
 from tallymill.session import materialize
 
 ORDER = ("source_name", "line_no", "record_id")
@@ -125,14 +128,18 @@ def dedup_report(records_in: DataFrame, collapsed: DataFrame, exact: DataFrame,
     return out.select("records_in", (F.col("records_in") - F.col("after_ids")).alias("id_collapsed"), "exact_dropped", "near_dropped", "chain_dropped", (F.col("after_ids") - F.col("exact_dropped") - F.col("near_dropped")).alias("records_out"))
 
 
-def run_dedup(records: DataFrame, threshold: float = 0.92) -> dict[str, DataFrame]:
-    """Whole de-duplication of records with input_text and output_text: kept rows, exact and near entries, report."""
+def run_dedup(records: DataFrame, threshold: float = 0.92, embedder: Callable[[Column], Column] | None = None) -> dict[str, DataFrame]:
+    """Whole de-duplication of records with input_text and output_text: kept rows, exact and near entries, report.
+
+    embedder maps a text column to one of unit vectors; the hashing embedder is the default.
+    """
     from tallymill.functions.embed import embed_col
 
+    embed = embedder or embed_col
     collapsed = materialize(collapse_ids(records), "dedup-ids")
     exact = materialize(exact_entries(collapsed), "dedup-exact")
     once = collapsed.join(exact.select(F.col("dropped_record_id").alias("record_id")), "record_id", "left_anti")
-    vectors = materialize(once.select(F.col("record_id").alias("id"), order_struct().alias("rank"), embed_col(F.concat_ws(schema.SEP, "input_text", "output_text")).alias("vec")), "dedup-vectors")
+    vectors = materialize(once.select(F.col("record_id").alias("id"), order_struct().alias("rank"), embed(F.concat_ws(schema.SEP, "input_text", "output_text")).alias("vec")), "dedup-vectors")
     pairs = cosine_pairs(vectors, threshold)
     near = materialize(near_entries(vectors, pairs, threshold, rank=F.col("rank")), "dedup-near")
     kept = once.join(near.select(F.col("dropped").alias("record_id")), "record_id", "left_anti")
@@ -142,13 +149,15 @@ def run_dedup(records: DataFrame, threshold: float = 0.92) -> dict[str, DataFram
 def calibration_sweep(scored: DataFrame, similarity: str = "similarity", duplicate: str = "duplicate") -> DataFrame:
     """(threshold, tp, fp, fn, precision, recall, f1) at the midpoints between neighbouring distinct similarities.
 
-    Pairs are counted per similarity first; each candidate's counts are running sums over that table, so the work is one
-    sort of the distinct similarities rather than candidates times pairs.
+    Pairs are counted per similarity first; each candidate's counts are running sums over ranges of that table, so the
+    work is one sort of the distinct similarities rather than candidates times pairs, and no task sees all of them.
     """
     steps = scored.where(F.col(similarity).isNotNull()).groupBy(F.col(similarity).alias("s")).agg(F.count_if(F.col(duplicate)).alias("d"), F.count_if(~F.col(duplicate)).alias("x"))
-    up = Window.orderBy("s")
-    cumulated = steps.withColumn("next", F.lead("s").over(up)).withColumn("fn", F.sum("d").over(up)).withColumn("tn", F.sum("x").over(up)).withColumn("all_d", F.sum("d").over(Window.partitionBy())).withColumn("all_x", F.sum("x").over(Window.partitionBy()))
-    at = cumulated.where("next IS NOT NULL").select(F.round((F.col("s") + F.col("next")) / 2, 6).alias("threshold"), (F.col("all_d") - F.col("fn")).alias("tp"), (F.col("all_x") - F.col("tn")).alias("fp"), "fn")
+    cumulated = running(steps, "s", ["d", "x"])
+    whole = steps.agg(F.sum("d").alias("all_d"), F.sum("x").alias("all_x"))
+    at = cumulated.where("next IS NOT NULL").crossJoin(F.broadcast(whole)).select(
+        F.round((F.col("s") + F.col("next")) / 2, 6).alias("threshold"), (F.col("all_d") - F.col("d_upto")).alias("tp"), (F.col("all_x") - F.col("x_upto")).alias("fp"), F.col("d_upto").alias("fn")
+    )
     once = at.groupBy("threshold").agg(F.max("tp").alias("tp"), F.max("fp").alias("fp"), F.min("fn").alias("fn"))
     precision = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(0.0)
     recall = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(0.0)

@@ -15,6 +15,7 @@ from tallymill import schema
 from tallymill.functions.embed import embed_col
 from tallymill.functions.taxonomy import DEFAULT, Taxonomy, annotator_instructions, fingerprint
 from tallymill.operators import agreement, checks, cluster, dedup, export, labeling, sampling
+from tallymill.operators.order import numbered
 from tallymill.plans.settings import Settings
 from tallymill.session import materialize
 from tallymill.sources import jsonl, sinks
@@ -78,9 +79,7 @@ def measure(run: Run, human: DataFrame, labels_sha256: str | None = None) -> dic
         raise NoMatchedPairs("no record was labelled by both raters")
     found: dict[str, object] = {"accounting": agreement.match_accounting(judged, human).first().asDict(), "human_only": agreement.human_only_causes(labels, human), "labels_sha256": labels_sha256}
     resampled = materialize(agreement.resample_rows(human.sparkSession, run.settings.seed, run.settings.bootstrap_resamples, n), "resamples")
-    from pyspark.sql import Window
-
-    placed = materialize(both.withColumn("i", F.row_number().over(Window.orderBy("record_id")) - 1), "placed")
+    placed = materialize(numbered(both, ["record_id"]), "placed")
     for axis, classes in (("task_type", schema.TASK_TYPES), ("outcome", schema.OUTCOMES)):
         pairs = placed.select("i", "record_id", F.col(axis).alias("human"), F.col("j_" + axis).alias("judge"))
         cells = materialize(agreement.confusion(pairs, classes), "cells")

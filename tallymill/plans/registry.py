@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from tallymill import schema
 from tallymill.operators import agreement, checks, cluster, dedup, export, labeling, sampling
 from tallymill.operators.timestamps import found_instants
+from tallymill.operators.order import numbered
+from tallymill.plans.settings import Settings
 from tallymill.session import materialize, table
 
 MAX_LABELS = 3000
 SAMPLE = 500
 NEAR = 0.30
-RESAMPLES = 200
+RESAMPLES = Settings().bootstrap_resamples
 
 
 def _exchanges(spark, sf_dir) -> DataFrame:
@@ -136,21 +138,26 @@ def disagreements(spark, sf_dir):
 
 def bootstrap_ci(spark, sf_dir):
     """Interval over a resampling table written by arithmetic, so that SQL can repeat it."""
-    from pyspark.sql import Window
+    rated = materialize(numbered(_rated(spark, sf_dir), ["record_id"]), "rated")
+    return agreement.bootstrap_kappa(rated, _arithmetic_draws(spark, rated.count()))
 
-    rated = _rated(spark, sf_dir).withColumn("i", F.row_number().over(Window.orderBy("record_id")) - 1)
-    rated = materialize(rated, "rated")
-    n = rated.count()
-    resampled = spark.range(RESAMPLES).select(F.col("id").alias("b")).crossJoin(spark.range(n).select(F.col("id").alias("k"))).select("b", F.pmod(F.col("b") * 7919 + F.col("k") * 104729 + F.col("b") * F.col("k") * 31, F.lit(n)).cast("int").alias("i"))
-    return agreement.bootstrap_kappa(rated, resampled)
+
+def _arithmetic_draws(spark, n: int) -> DataFrame:
+    b = spark.range(RESAMPLES).select(F.col("id").alias("b"))
+    k = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("k")
+    return b.select("b", k).select("b", F.pmod(F.col("b") * 7919 + F.col("k") * 104729 + F.col("b") * F.col("k") * 31, F.lit(n)).alias("i"))
+
+
+def bootstrap_per_class(spark, sf_dir):
+    """Intervals of every class against the rest, over the same resampling table."""
+    rated = materialize(numbered(_rated(spark, sf_dir), ["record_id"]), "rated")
+    return agreement.bootstrap_per_class(rated, _arithmetic_draws(spark, rated.count()), schema.OUTCOMES)
 
 
 def bootstrap_seeded(spark, sf_dir):
     """The same interval over the seeded generator's draws."""
-    from pyspark.sql import Window
-
-    rated = materialize(_rated(spark, sf_dir).withColumn("i", F.row_number().over(Window.orderBy("record_id")) - 1), "rated")
-    return agreement.bootstrap_kappa(rated, agreement.resample_rows(spark, schema.SEED, 1000, rated.count()))
+    rated = materialize(numbered(_rated(spark, sf_dir), ["record_id"]), "rated")
+    return agreement.bootstrap_kappa(rated, agreement.resample_rows(spark, schema.SEED, RESAMPLES, rated.count()))
 
 
 def _pairs(spark, sf_dir) -> DataFrame:
@@ -278,7 +285,7 @@ def _full_report(spark, sf_dir) -> DataFrame:
 _NAMES = (
     "p3_found record_ids exact_dedup_entries exact_dedup_kept exact_dedup_groups document_twins id_collapse contamination_blocked contamination_clean "
     "stratum_quotas stratified_sample fake_judge_labels label_distribution budget_buckets match_accounting human_only_causes confusion_long kappa_global "
-    "kappa_per_class disagreements bootstrap_ci bootstrap_seeded calibration_sweep calibration_best calibration_embedder near_pairs near_components near_entries "
+    "kappa_per_class disagreements bootstrap_ci bootstrap_per_class bootstrap_seeded calibration_sweep calibration_best calibration_embedder near_pairs near_components near_entries "
     "text_dedup_report ingest_buckets ingest_report ingest_records reject_samples redaction_counts hdbscan_clusters golden_export integrity"
 ).split()
 QUERIES = {name: globals()[name] for name in _NAMES}
@@ -351,6 +358,11 @@ dr AS (SELECT b.range AS b, (b.range * 7919 + k.range * 104729 + b.range * k.ran
 rr AS (SELECT b, human AS c, sum(n) AS r FROM ce GROUP BY ALL), cc AS (SELECT b, judge AS c, sum(n) AS k FROM ce GROUP BY ALL), ss AS (SELECT b, sum(r * coalesce(k, 0))::DOUBLE AS s FROM rr LEFT JOIN cc USING (b, c) GROUP BY b),
 tt AS (SELECT b, sum(n)::DOUBLE AS n, sum(CASE WHEN human = judge THEN n ELSE 0 END)::DOUBLE AS d FROM ce GROUP BY b), kk AS (SELECT (n * d - s) / nullif(n * n - s, 0) AS k FROM tt JOIN ss USING (b))
 SELECT count(*) AS resamples, count(*) FILTER (k IS NULL) AS degenerate, round(quantile_cont(k, 0.025), 6) AS lower, round(quantile_cont(k, 0.975), 6) AS upper FROM kk""",
+    "bootstrap_per_class": f"""WITH {_RATED}, ri AS (SELECT human, judge, row_number() OVER (ORDER BY record_id) - 1 AS i FROM x), nn AS (SELECT count(*) AS n FROM ri),
+dr AS (SELECT b.range AS b, (b.range * 7919 + k.range * 104729 + b.range * k.range * 31) % n AS i FROM range({RESAMPLES}) b, nn, range((SELECT n FROM nn)) k), ce AS (SELECT b, human, judge, count(*) AS n FROM dr JOIN ri USING (i) GROUP BY ALL),
+pc AS (SELECT b, c.c AS class, sum(n)::DOUBLE AS n, sum(n) FILTER (human = c.c)::DOUBLE AS h, sum(n) FILTER (judge = c.c)::DOUBLE AS j, sum(n) FILTER (human = c.c AND judge = c.c)::DOUBLE AS a FROM ce, c GROUP BY ALL),
+pk AS (SELECT class, n, coalesce(h, 0) AS h, coalesce(j, 0) AS j, coalesce(a, 0) AS a FROM pc), kk AS (SELECT class, (n * (n - h - j + 2 * a) - (h * j + (n - h) * (n - j))) / nullif(n * n - (h * j + (n - h) * (n - j)), 0) AS k FROM pk)
+SELECT class, count(*) AS resamples, count(*) FILTER (k IS NULL) AS degenerate, round(quantile_cont(k, 0.025), 6) AS lower, round(quantile_cont(k, 0.975), 6) AS upper FROM kk GROUP BY class""",
     "calibration_sweep": f"WITH {_SWEEP} SELECT * FROM sweep",
     "calibration_best": f"WITH {_SWEEP} SELECT * FROM sweep ORDER BY f1 DESC, threshold DESC LIMIT 1",
     "near_pairs": f"WITH {_NEAR} SELECT a, b, round(s, 6) AS similarity FROM pr",
