@@ -44,25 +44,42 @@ def main(args: list[str] | None = None) -> int:
     records, report = pipeline.ingest(spark, [(x, "generic_jsonl", mapping) for x in o.generic] + [(x, "tracespan", None) for x in o.spans])
     shots = jsonl.load_few_shots(spark, o.few_shots) if o.few_shots else None
     run = pipeline.curate(records, Settings.from_env(), shots=shots)
-    if o.task == "annotate":
-        pipeline.annotate(run, o.out)
-        return 0
+    from tallymill.plans import reports
+    from tallymill.sources.sinks import ArtifactsPresent
+
+    try:
+        if o.task == "annotate":
+            pipeline.annotate(run, o.out)
+            print(reports.annotation_report(run))
+            return 0
+        return _measure(spark, o, run, report)
+    except ArtifactsPresent as e:
+        print(f"refused: {e}", file=sys.stderr)
+        return 2
+
+
+def _measure(spark, o, run, report) -> int:
+    from tallymill.operators.export import ExportError
+    from tallymill.plans import reports
+
+    given = [("source_log", x) for x in (*o.generic, *o.spans)] + [("few_shot_store", o.few_shots), ("human_labels", o.labels)]
+    inputs = tuple((role, r["name"], r["sha256"]) for role, path in given if path for r in jsonl.file_digests(spark, path).collect())
     found = None
     if o.labels:
-        digest = jsonl.file_digests(spark, o.labels).first()["sha256"]
+        digest = next(sha for role, _, sha in inputs if role == "human_labels")
         found = pipeline.measure(run, jsonl.load_human_labels(spark, o.labels), digest)
-    from tallymill.sources.sinks import render_table
-
-    print(render_table(report, "ingest"))
-    print(pipeline.report_text(run, found))
+    print(reports.demo_report(run, report))
+    if found:
+        print(reports.agreement_report(run, found))
     if found and o.out:
-        from tallymill.operators.export import ExportError
-
         try:
-            pipeline.publish(run, found, o.out, override=o.override)
+            sources = tuple(sorted(r[0] for r in report.select("source_name").collect()))
+            manifest = pipeline.publish(run, found, o.out, inputs=inputs, override=o.override, sources=sources)
         except ExportError as e:
             print(f"no export: {e}", file=sys.stderr)
             return 2
+        reports.write_run_report(spark, run, found, o.out)
+        print(reports.export_report(manifest))
     return 0
 
 

@@ -47,12 +47,23 @@ class Taxonomy:
         return out
 
 
+_DEFINITIONS = {
+    "factual_query": "a fact, figure or state of things is wanted",
+    "procedural_request": "the steps or the carrying out of a procedure are wanted",
+    "troubleshooting": "something doesn't work as it should; its cause or cure is wanted",
+    "planning_or_reasoning": "options are to be weighed, a plan or a chain of reasons is wanted",
+    "other": "none of the other classes fits",
+    "correct": "answers what was asked, and nothing in it is wrong",
+    "partially_correct": "answers part of what was asked, or mixes right with lesser wrong statements",
+    "incorrect": "its main statement is wrong, or it answers something else",
+    "unjudgeable": "can't be judged from the two texts alone, for instance without facts that only the sender has",
+}
 DEFAULT = Taxonomy(
     "exchange-labels",
-    "1",
+    "2",
     (
-        Axis("task_type", "What does the input ask for?", tuple((c, c.replace("_", " ")) for c in TASK_TYPES)),
-        Axis("outcome", "How well does the output answer the input?", tuple((c, c.replace("_", " ")) for c in OUTCOMES)),
+        Axis("task_type", "What does the input ask for?", tuple((c, _DEFINITIONS[c]) for c in TASK_TYPES)),
+        Axis("outcome", "How well does the output answer the input?", tuple((c, _DEFINITIONS[c]) for c in OUTCOMES)),
     ),
 )
 

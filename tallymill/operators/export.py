@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill import schema
+from tallymill.operators.contracts import HEX64
 from tallymill.sources.jsonl import canonical_json
 
 CHECKS = ("headline_ready", "headline_status", "instrument_binding", "ground_truth_bound", "kappa_threshold")
 
 
+INPUT_ROLES = ("source_log", "few_shot_store", "human_labels")
+MAX_REASON = 500
+
+
 class ExportError(Exception):
     pass
 
@@ -41,6 +46,37 @@ class Decision:
     verdict: str
     override: str | None = None
 
+    def incoherent(self, min_kappa: float) -> list[str]:
+        """What in a decision doesn't follow from its own checks."""
+        failed = {k for k, ok in self.checks if not ok}
+        wrong = []
+        if tuple(k for k, _ in self.checks) != CHECKS:
+            wrong.append("five checks in order")
+        want = "passed" if not failed else "passed_with_override" if failed == {"kappa_threshold"} and self.override is not None else "blocked"
+        if self.verdict != want:
+            wrong.append("verdict follows from checks")
+        if self.override is not None and (failed != {"kappa_threshold"} or not 1 <= len(self.override) <= MAX_REASON):
+            wrong.append("override covers the threshold only")
+        if self.straddles != (self.kappa is not None and self.ci_lower is not None and self.ci_lower < min_kappa <= self.kappa):
+            wrong.append("straddle follows from the interval")
+        if (self.kappa is None) and (self.ci_lower is not None or self.ci_upper is not None):
+            wrong.append("no interval without kappa")
+        return wrong
+
+
+def gate_table(facts: DataFrame, min_kappa: float = 0.6) -> DataFrame:
+    """facts plus (failed, verdict, straddles): the gate over many runs at once.
+
+    facts has ready, status, kappa, lower, same_instrument, labels_sha256 and override; a null flag is a failed check. An
+    override that can't be granted gives the verdict blocked.
+    """
+    kappa = F.when(F.col("status") == "ok", F.col("kappa"))
+    passed = (F.col("ready"), F.col("status") == "ok", F.col("same_instrument"), F.col("labels_sha256").isNotNull(), kappa >= min_kappa)
+    failed = F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(k)) for k, ok in zip(CHECKS, passed)]), lambda x: x.isNotNull())
+    only_threshold = (F.size("failed") == 1) & F.array_contains("failed", "kappa_threshold") & F.col("override").isNotNull()
+    verdict = F.when(F.size("failed") == 0, "passed").when(only_threshold, "passed_with_override").otherwise("blocked")
+    return facts.withColumn("failed", failed).withColumn("verdict", verdict).withColumn("straddles", F.coalesce((F.col("lower") < min_kappa) & (kappa >= min_kappa), F.lit(False)))
+
 
 def evaluate_gate(headline: dict, *, ready: bool, same_instrument: bool, labels_sha256: str | None, min_kappa: float = 0.6, override: str | None = None) -> Decision:
     """Decision from the stored headline (kappa, status, lower, upper).
@@ -111,6 +147,10 @@ class Manifest:
     inputs: tuple[tuple[str, str, str], ...]  # role, name, sha256
     settings: tuple[tuple[str, object], ...]
     decision: Decision
+    echoes: tuple[tuple[str, object], ...] = ()  # knobs as the stages report having used them
+    fingerprints: tuple[tuple[str, str], ...] = ()  # judge of the labels and of the agreement, taxonomy of each
+    sources: tuple[str, ...] | None = None  # names in the ingest report
+    facts: tuple[tuple[str, object], ...] = ()  # what the gate was decided on
 
     def coherent(self) -> list[str]:
         wrong = []
@@ -126,11 +166,43 @@ class Manifest:
             wrong.append("exported although blocked")
         if list(self.inputs) != sorted(self.inputs) or any(len(s) != 64 or "/" in n for _, n, s in self.inputs):
             wrong.append("input files")
+        if any(role not in INPUT_ROLES for role, _, _ in self.inputs):
+            wrong.append("input roles")
+        if any(sum(r == role for r, _, _ in self.inputs) > 1 for role in ("few_shot_store", "human_labels")):
+            wrong.append("one file a role")
+        if self.sources is not None and {n for r, n, _ in self.inputs if r == "source_log"} != set(self.sources):
+            wrong.append("sources of the ingest report")
+        if not HEX64.fullmatch(self.golden_sha256):
+            wrong.append("golden digest")
+        known = dict(self.settings)
+        if any(k not in known or known[k] != v for k, v in self.echoes):
+            wrong.append("knob echoes")
+        prints = dict(self.fingerprints)
+        if prints and (prints.get("labels") != prints.get("agreement") or prints.get("labels_taxonomy") != prints.get("agreement_taxonomy")):
+            wrong.append("fingerprint chain")
+        wrong += self.decision.incoherent(known.get("min_export_kappa", 0.6))
+        if self.facts:
+            f = dict(self.facts)
+            headline = {k: f.get(k) for k in ("status", "kappa", "lower", "upper")}
+            try:
+                again = evaluate_gate(headline, ready=bool(f.get("ready")), same_instrument=bool(f.get("same_instrument")), labels_sha256=f.get("labels_sha256"), min_kappa=known.get("min_export_kappa", 0.6), override=self.decision.override)
+            except ExportInputError:
+                again = None
+            if again != self.decision:
+                wrong.append("gate recomputed")
         return wrong
 
     def render(self, volatile: dict | None = None) -> str:
         """meta.json: what a re-run must reproduce byte for byte, and what it can't."""
         body = asdict(self)
-        for k in ("inputs", "settings"):
+        for k in ("inputs", "settings", "echoes", "fingerprints", "facts"):
             body[k] = [list(x) for x in body[k]]
+        body["sources"] = None if self.sources is None else list(self.sources)
         return canonical_json({"deterministic": body, "volatile": volatile}, indent=2) + "\n"
+
+
+def deterministic_bytes(meta_text: str) -> bytes:
+    """The part of a meta.json that a re-run must reproduce, in its one spelling, to compare two runs byte by byte."""
+    import json
+
+    return canonical_json(json.loads(meta_text)["deterministic"]).encode()

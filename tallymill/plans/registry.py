@@ -9,6 +9,7 @@ from tallymill import schema
 from tallymill.operators import agreement, checks, cluster, dedup, export, labeling, sampling
 from tallymill.operators.timestamps import found_instants
 from tallymill.operators.order import numbered
+from tallymill.plans import feeds, soundness
 from tallymill.plans.settings import Settings
 from tallymill.session import materialize, table
 
@@ -241,10 +242,10 @@ def reject_samples(spark, sf_dir):
 
 def redaction_counts(spark, sf_dir):
     """(category, texts): how many texts of the log hold something of each category."""
-    from tallymill.functions.redact import PATTERNS, sanitize_col
+    from tallymill.functions.redact import PATTERNS, sanitize_wide
 
     rows = table(spark, sf_dir, "cluster_demo").select(F.explode(F.array("q", "a")).alias("t")).where("t IS NOT NULL")
-    clean = rows.select(sanitize_col("t").alias("t")).agg(*[F.count_if(F.contains("t", F.lit(f"[REDACTED:{k}]"))).alias(k) for k, _ in PATTERNS])
+    clean = rows.select(sanitize_wide("t").alias("t")).agg(*[F.count_if(F.contains("t", F.lit(f"[REDACTED:{k}]"))).alias(k) for k, _ in PATTERNS])
     return clean.select(F.explode(F.array(*[F.struct(F.lit(k).alias("category"), F.col(k).alias("texts")) for k, _ in PATTERNS])).alias("c")).select("c.*")
 
 
@@ -288,7 +289,7 @@ _NAMES = (
     "kappa_per_class disagreements bootstrap_ci bootstrap_per_class bootstrap_seeded calibration_sweep calibration_best calibration_embedder near_pairs near_components near_entries "
     "text_dedup_report ingest_buckets ingest_report ingest_records reject_samples redaction_counts hdbscan_clusters golden_export integrity"
 ).split()
-QUERIES = {name: globals()[name] for name in _NAMES}
+QUERIES = {name: globals()[name] for name in _NAMES} | soundness.QUERIES | feeds.QUERIES
 
 _R = "r AS (SELECT record_id, source_name, line_no, q, a, coalesce(lang, '') AS stratum, sha256(q || chr(31) || a) AS h FROM cluster_demo WHERE trim(q) <> '' AND trim(a) <> '')"
 _FIRST = "f AS (SELECT h, arg_min(record_id, {'s': source_name, 'l': line_no, 'r': record_id}) AS kept, count(*) AS n FROM r GROUP BY h)"
@@ -370,5 +371,6 @@ SELECT class, count(*) AS resamples, count(*) FILTER (k IS NULL) AS degenerate,
     "near_entries": f"WITH RECURSIVE {_COMPONENTS}, sim AS (SELECT node AS dropped, component AS kept, list_cosine_similarity(x.v, y.v) AS s FROM comp JOIN e x ON node = x.vec_id JOIN e y ON component = y.vec_id WHERE node <> component) SELECT dropped, kept, round(s, 6) AS similarity, s < {NEAR} AS via_chain FROM sim",
     "ingest_buckets": f"WITH {_LINES} SELECT source_name, line_no, bucket FROM bk",
     "ingest_report": f"WITH {_LINES} SELECT source_name, count(*) AS lines_read, count(*) FILTER (bucket = 'normalized') AS normalized, count(*) FILTER (bucket IN ('invalid_encoding', 'invalid_json', 'schema_mismatch', 'missing_field')) AS rejected, count(*) FILTER (bucket IN ('blank_line', 'no_exchange')) AS skipped FROM bk GROUP BY source_name",
+    "ingest_reasons": f"WITH {_LINES} SELECT source_name, bucket AS reason, count(*) AS n FROM bk WHERE bucket <> 'normalized' GROUP BY ALL",
     "integrity": "SELECT '' AS entity, '' AS rule, '' AS detail WHERE false",
-}
+} | soundness.SQL | feeds.SQL

@@ -142,7 +142,7 @@ def parse_tracespan(lines: DataFrame, actions: tuple[str, ...] = schema.CANDIDAT
     for k in ("parent_span_id", "model_id"):
         strings = strings & F.coalesce(kind_of(k).isin("STRING", "VOID"), F.lit(True))
     for k in ("tokens_in", "tokens_out", "cost_usd", "latency_ms"):
-        strings = strings & F.coalesce(kind_of(k) == "VOID", F.lit(True)) | (strings & (get(k, "double") >= 0))
+        strings = strings & (F.coalesce(kind_of(k) == "VOID", F.lit(True)) | F.coalesce(get(k, "double") >= 0, F.lit(False)))
     strings = strings & F.coalesce(get("status").isin(*schema.SPAN_STATUS), F.lit(False)) & F.coalesce(kind_of("payload").startswith("OBJECT"), kind_of("payload").isNull())
 
     def side(keys: tuple[str, ...]) -> Column:

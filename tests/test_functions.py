@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from tallymill.functions.bitmap import hits, member_bits
 from tallymill.functions.embed import embed, murmur3
-from tallymill.functions.redact import PATTERNS, normalize, sanitize, scrub
+from tallymill.functions.redact import PATTERNS, normalize, sanitize, sanitize_wide, scrub_array
 from tallymill.functions.text import fold, squeeze, words
 from tallymill.functions.timestamps import to_utc
 
@@ -87,7 +87,10 @@ def test_redaction_of_each_category(kind):
 def test_hidden_characters_do_not_hide_secrets():
     assert "[REDACTED:email]" in sanitize("jo@exa​mple.org")
     assert normalize("é") == "é" and normalize("e͏́") == "é" and normalize("a\r\nb\x1f") == "a\nb"
-    assert scrub({"jo@example.org": ["06 12 34 56 78", 1, None]}) == {"[REDACTED:email]": ["[REDACTED:phone]", 1, None]}
+    import pyarrow as pa
+
+    nested = pa.array([[("jo@example.org", {"a": ["06 12 34 56 78", None], "n": 1})], None, []], pa.map_(pa.string(), pa.struct([("a", pa.list_(pa.string())), ("n", pa.int64())])))
+    assert scrub_array(nested).to_pylist() == [[("[REDACTED:email]", {"a": ["[REDACTED:phone]", None], "n": 1})], None, []]
     assert sanitize(None) is None and sanitize("") == ""
 
 
@@ -151,3 +154,9 @@ def test_stamps_do_not_depend_on_their_neighbours():
             assert (utc or "")[:13] == want.get(stamp, ""), stamp
     assert layouts_of("9999-99-99 99:99 A") and not layouts_of("A A")
     assert transitions("Europe/Paris") is transitions("Europe/Paris") and zone_version()
+
+
+def test_redaction_on_the_jvm_equals_python(spark):
+    texts = ["a\r\nb\rc\x07", "mail jo@example.org, Bearer abcdefghijkl12345", "token = 'abc'", "sk-ant-" + "a1" * 12, "AKIA" + "A" * 16, "+33 6 12 34 56 78", "06 12 34 56 78", "C:\\Users\\jo x", "/home/jo/x", "é jo@example.org", "x" * 40, "", None, "password: [REDACTED:token]", "eyJabcd.abcd.abcd"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(sanitize_wide("t")).collect()] == [sanitize(t) for t in texts]

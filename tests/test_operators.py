@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import hashlib
 
 import numpy as np
@@ -239,7 +241,7 @@ def test_gate_and_manifest():
 
 
 def test_golden_lines_and_writer(spark, tmp_path):
-    from tallymill.sources.sinks import annotation_sheet, preview, write_export
+    from tallymill.sources.sinks import ArtifactsPresent, annotation_sheet, current_export, preview, refuse_mixed, write_export
 
     r = spark.createDataFrame([("s", 1, "q\né", "a"), ("s", 2, "q2", "a2")], "source_name string, line_no bigint, input_text string, output_text string")
     r = r.withColumns({"source_kind": F.lit("generic_jsonl"), "span_id": F.lit(None).cast("string"), "task_id": F.lit(None).cast("string"), "timestamp": F.lit(None).cast("string"), "metadata": F.create_map(F.lit("k"), F.lit("v"))})
@@ -250,12 +252,16 @@ def test_golden_lines_and_writer(spark, tmp_path):
     golden = export.golden_records(r, labels, r.select("record_id", F.lit("noise").alias("cluster_id")), hashes)
     checks.require_sound(checks.check_golden(golden, hashes))
     checks.require_sound(checks.check_records(r))
-    write_export(golden, "{}\n", f"file://{tmp_path}/out")
-    text = "".join(p.read_text() for p in sorted((tmp_path / "out/golden.jsonl").glob("part-*")))
+    folder = write_export(golden, "{}\n", f"file://{tmp_path}/out")
+    text = "".join(p.read_text() for p in sorted(Path(folder.removeprefix("file://"), "golden.jsonl").glob("part-*")))
+    assert current_export(spark, f"file://{tmp_path}/out") == folder and write_export(golden, "{}\n", f"file://{tmp_path}/out") == current_export(spark, f"file://{tmp_path}/out") != folder
+    with pytest.raises(ArtifactsPresent):
+        refuse_mixed(spark, f"file://{tmp_path}/out", "annotation")
+    refuse_mixed(spark, f"file://{tmp_path}/out", "judge")
     import json
 
     line = json.loads(text)
-    assert list(line) == sorted(line) and line["provenance"]["span_id"] is None and (tmp_path / "out/meta.json").read_text() == "{}\n"
+    assert list(line) == sorted(line) and line["provenance"]["span_id"] is None and Path(folder.removeprefix("file://"), "meta.json").read_text() == "{}\n"
     assert annotation_sheet(r, "tax").count() == 2 and r.select(preview(F.col("input_text"), 3)).first()[0] == "q␤é"
     with pytest.raises(Exception, match="without text or stratum"):
         export.golden_records(r, labels, r.limit(0).select("record_id", F.lit("x").alias("cluster_id")), hashes).collect()

@@ -43,7 +43,9 @@ def test_sources_to_export(spark, tmp_path):
     found = pipeline.measure(run, human, "f" * 64)
     assert found["outcome"]["headline"]["kappa"] == 1.0 and found["accounting"]["n_matched"] == 20
     manifest = pipeline.publish(run, found, f"file://{tmp_path}/out")
-    assert manifest.exported == 25 and json.loads((tmp_path / "out/meta.json").read_text())["deterministic"]["exported"] == 25
+    assert manifest.exported == 25 and json.loads(next((tmp_path / "out").glob("export-*/meta.json")).read_text())["deterministic"]["exported"] == 25
+    with pytest.raises(export.ExportBlocked, match="instrument_binding"):
+        pipeline.publish(run, {k: v for k, v in found.items() if k != "judge"}, f"file://{tmp_path}/out2")
     assert "kappa 1.0" in pipeline.report_text(run, found)
     with pytest.raises(export.ExportBlocked):
         pipeline.publish(run, found | {"headline_ready": False}, f"file://{tmp_path}/out2")
