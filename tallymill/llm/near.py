@@ -120,6 +120,32 @@ def _counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(tok.astype(np.int64)), pa.array(n)], names=["tok", "n"])
 
 
+def _hot_prefixes(hot: np.ndarray, rank: np.ndarray):
+    """(k, n): how many prefixes hold each frequent word, by its place in `hot`."""
+
+    def run(batches):
+        total = np.zeros(len(hot), dtype=np.int64)
+        for b in batches:
+            tok, n = _flat(b)
+            if not len(tok):
+                continue
+            owner = np.repeat(np.arange(len(n), dtype=np.int64), n)
+            at = np.minimum(np.searchsorted(hot, tok), len(hot) - 1)
+            is_hot = hot[at] == tok
+            # a set's frequent words stand behind its rare ones, in the order of their ranks
+            rare = np.bincount(owner[~is_hot], minlength=len(n))
+            owner, at = owner[is_hot], at[is_hot]
+            perm = np.argsort((owner << 33) | rank[at], kind="stable")
+            owner, at = owner[perm], at[perm]
+            held = np.bincount(owner, minlength=len(n))
+            place = rare[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(held) - held, held)
+            total += np.bincount(at[20 * place <= 7 * n[owner]], minlength=len(hot))
+        k = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(total[k])], names=["k", "n"])
+
+    return run
+
+
 def _prefixes(hot: np.ndarray, rank: np.ndarray, shards: np.ndarray, twice: np.ndarray):
     """Rows (tok, meta, sk, sketch) of the prefixes; meta is size, place and whether the place is in the short prefix.
 
@@ -309,7 +335,10 @@ def similar_sets(profiles: DataFrame) -> DataFrame:
     count = top["n"].to_numpy(dtype=np.int64)
     rank = np.empty(len(hot), dtype=np.int64)
     rank[np.lexsort((hot, count))] = np.arange(len(hot))
-    shards = -(-count // _BLOCK)
+    shards = np.ones(len(hot), dtype=np.int64)
+    if len(hot):
+        held = sets.select("toks").mapInArrow(_hot_prefixes(hot, rank), "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+        shards[held["k"].to_numpy(dtype=np.int64)] = -(-held["n"].to_numpy(dtype=np.int64) // _BLOCK)
     bits = np.zeros(1 << 19, dtype=np.uint64)
     place = F.col("tok").bitwiseAND((64 << 19) - 1)
     got = counted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b")).toPandas()

@@ -450,3 +450,16 @@ def test_subset_with_more_channels_than_places(spark):
     assert len(some) == 200 and len({c for _, c, _ in some}) == 16
     assert rows(varied.varied_subset(table.repartition(9, "q"), 200)) == some
     assert len(rows(varied.varied_subset(table, 5000))) == 900
+
+
+def test_blocks_in_shards_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near, "_BLOCK", 7)
+    rng = random.Random(12)
+    base = [" ".join(rng.choices("abcdefghijklmnop", k=1)[0] + str(rng.randint(0, 3)) for _ in range(8)) for _ in range(60)]
+    texts = base + [b.replace(b.split()[0], "x9") for b in base]
+    sets_ = [frozenset(t.split()) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i) if sets_[i] != sets_[j] and near.alike(len(sets_[i] & sets_[j]), len(sets_[i]), len(sets_[j]))}
+    profiles = near.profiles_of(spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "line_no bigint, q string, a string"))
+    key = {r.rid: r.sk for r in profiles.collect()}
+    got = {tuple(sorted(r)) for r in near.similar_sets(profiles).collect()}
+    assert got == {tuple(sorted((key[i], key[j]))) for i, j in want} and got
