@@ -65,7 +65,7 @@ _WEAK = (
 _NO_NAME = frozenset(
     "le la les un une des du de au aux et ou on il elle nous vous je ce cette ces mon ma votre notre pour dans sur par avec sans est en the a an of and or in on at to for with we you he she it this that is are our your "
     "der die das ein eine und oder in im am zu zur zum für mit wir sie er es ich ist bei von el los las una y o en por para con es se del al que qui si pas service équipe team office support direction "
-    "back me us here now please unter bitte herr frau".split()
+    "back me us here now please unter bitte herr frau tout toute tous".split()
 )
 
 _SIGN = r"(?:\s?@\s?|\s?[\[(]\s?(?:at|arobase|arroba|ät|chez)\s?[\])]\s?)"
@@ -221,7 +221,8 @@ def candidates(text: str) -> list[tuple[int, int, str, list[int]]]:
 
 def _nameable(word: str) -> bool:
     """Whether a word is written like a name: a capital, or a short word of a script without case."""
-    if word.casefold() in _NO_NAME or word.casefold() in _TITLE_WORDS:
+    low = word.casefold()
+    if low in _NO_NAME or low in _TITLE_WORDS or low.replace("’", "'").startswith(("l'", "qu'", "n'", "j'", "c'")):
         return False
     if word[0].isupper():
         return len(word) > 1
