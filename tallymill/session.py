@@ -27,10 +27,12 @@ def build_session(app: str = "tallymill", cores: int | str = "*", shuffle_partit
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors reach, from spark.checkpoint.dir; a local temporary one only where that is unset."""
+    """Folder that all executors reach, from spark.checkpoint.dir; unset, a temporary one in local mode and an error on a cluster."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors reach")
     app = spark.sparkContext.applicationId
     if app not in _FALLBACK:
         _FALLBACK[app] = "file://" + tempfile.mkdtemp(prefix="tallymill-")
