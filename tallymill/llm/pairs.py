@@ -61,28 +61,39 @@ ASKED = {
     "th": "thaï|thai|thailändisch|tailandés",
 }
 _ASKS = [(k, re.compile(rf"\b(?:en|in|auf|ins|al|into|vers l')\s*(?:l')?(?:{v})\b", re.I)) for k, v in ASKED.items()]
-_MAY_ASK = re.compile("|".join(ASKED.values()), re.I)
-# Wording that declines to reply, and wording that only softens.
-REFUSAL = re.compile(
-    r"ne (?:peux|pouvons|puis|saurais|saurions) pas (?:\w+ ){0,3}?(?:répondre|donner|traiter|aider|communiquer|fournir|aborder|discuter|parler|commenter|divulguer|satisfaire|accéder)"
-    r"|pas (?:autorisé|habilité|en mesure|permis)|(?:dois|devons|préfère|préférons) (?:décliner|refuser|m'abstenir|ne pas)|ne pas me prononcer|m'est impossible|nous est impossible|"
-    r"refuse de (?:répondre|traiter|donner)|sort de ce que (?:j'ai|je)|droit d'aborder|hors de mon (?:champ|domaine|périmètre)|n'ai pas le droit|pas mon rôle|me refuse|dois refuser|m'abstiens"
-    r"|(?:cannot|can't|can not|won't|unable to|not able to|not allowed|not permitted|not authori[sz]ed|must decline|have to decline|decline to|rather not|prefer not|not comfortable|refuse to|outside (?:of )?what i|at liberty to|no permission to)"
-    r"|no (?:puedo|podemos|estoy autorizad\w|me es posible|tengo permitido|me está permitido)|prefiero no|debo (?:rechazar|declinar)|me es imposible|fuera de lo que|no me corresponde|declino|no tengo (?:permiso|autorización)|me niego|me abstengo|no voy a (?:responder|contestar|hablar)"
-    r"|(?:kann|darf|möchte|werde|können|dürfen|will) (?:ich|wir|mich)[^.;]{0,40}\bnicht\b|(?:ich|wir) (?:kann|darf|möchte|werde|können|dürfen|will)[^.;]{0,60}\bnicht\b|muss ich[^.;]{0,60}ablehnen|ablehnen muss|nicht (?:befugt|berechtigt|beantworten|äußern|erlaubt)|nicht möglich|außerhalb dessen|keine (?:auskunft|auskünfte|angaben|antwort) (?:\w+ ){0,2}?(?:geben|machen|erteilen)",
-    re.I,
-)
+_MAY_ASK = tuple(fold(v) for v in "|".join(ASKED.values()).split("|"))
+# Wording that declines to reply, after folded text of which every match of it holds some.
+_REFUSALS = (
+    ((" pas ",), r"ne (?:peux|pouvons|puis|saurais|saurions) pas (?:\w+ ){0,3}?(?:répondre|donner|traiter|aider|communiquer|fournir|aborder|discuter|parler|commenter|divulguer|satisfaire|accéder)"),
+    (("pas autorisé", "pas habilité", "pas en mesure", "pas permis"), r"pas (?:autorisé|habilité|en mesure|permis)"),
+    ((" décliner", " refuser", " m'abstenir", " ne pas"), r"(?:dois|devons|préfère|préférons) (?:décliner|refuser|m'abstenir|ne pas)"),
+    (("prononcer", "impossible"), r"ne pas me prononcer|m'est impossible|nous est impossible"),
+    (("refuse",), r"refuse de (?:répondre|traiter|donner)|me refuse|dois refuser"),
+    (("sort de ce que",), r"sort de ce que (?:j'ai|je)"),
+    (("hors de mon ",), r"hors de mon (?:champ|domaine|périmètre)"),
+    (("droit d'aborder", "n'ai pas le droit", "pas mon rôle", "m'abstiens"), r"droit d'aborder|n'ai pas le droit|pas mon rôle|m'abstiens"),
+    (("cannot", "can't", "can not", "won't", "able to"), r"cannot|can't|can not|won't|unable to|not able to"),
+    (("not allowed", "not permitted", "not authori", "not comfortable", "rather not", "prefer not"), r"not allowed|not permitted|not authori[sz]ed|rather not|prefer not|not comfortable"),
+    (("decline", "refuse to", "at liberty to", "no permission to"), r"must decline|have to decline|decline to|refuse to|at liberty to|no permission to"),
+    (("outside ",), r"outside (?:of )?what i"),
+    (("no puedo", "no podemos", "no estoy autorizad", "no me es", "no tengo", "no me est"), r"no (?:puedo|podemos|estoy autorizad\w|me es posible|tengo permitido|me está permitido)|no tengo (?:permiso|autorización)"),
+    (("prefiero no", "debo ", "me es imposible", "fuera de lo que"), r"prefiero no|debo (?:rechazar|declinar)|me es imposible|fuera de lo que"),
+    (("no me corresponde", "declino", "me niego", "me abstengo", "no voy a "), r"no me corresponde|declino|me niego|me abstengo|no voy a (?:responder|contestar|hablar)"),
+    (("nicht",), r"(?:kann|darf|möchte|werde|können|dürfen|will) (?:ich|wir|mich)[^.;]{0,40}\bnicht\b|(?:ich|wir) (?:kann|darf|möchte|werde|können|dürfen|will)[^.;]{0,60}\bnicht\b"),
+    (("nicht ",), r"nicht (?:befugt|berechtigt|beantworten|äußern|erlaubt)|nicht möglich"),
+    (("ablehnen",), r"muss ich[^.;]{0,60}ablehnen|ablehnen muss"),
+    (("ausserhalb dessen", "keine a"), r"außerhalb dessen|keine (?:auskunft|auskünfte|angaben|antwort) (?:\w+ ){0,2}?(?:geben|machen|erteilen)"),
+)
+REFUSAL = re.compile("|".join(p for _, p in _REFUSALS), re.I)
+_REFUSED = tuple((tuple(map(fold, ws)), re.compile(p, re.I)) for ws, p in _REFUSALS)
 _DECLINING = frozenset(
     words(fold("pas impossible refuse refuser décliner sort droit abstenir cannot can won unable able allowed permitted authorised authorized decline rather prefer comfortable outside "
     "no puedo podemos prefiero debo rechazar declinar declino imposible fuera corresponde nicht ablehnen außerhalb"))
 )
-# Folded text of which every match of REFUSAL holds some, also inside longer words.
-_DECLINED = tuple(map(fold, (
-    "pas ", "ne pas", "abstenir", "décliner", "refuse", "impossible", "sort de ce que", "droit d'aborder", "hors de mon", "cannot", "can't", "can not", "won't", "unable to", "not able", "not allowed", "not permitted",
-    "not authori", "decline", "rather not", "prefer not", "not comfortable", "outside ", "no puedo", "no podemos", "no estoy", "no me es", "no tengo permitido", "prefiero no", "debo ", "imposible", "fuera de lo que",
-    "no me corresponde", "declino", "no tengo", "me niego", "me abstengo", "no voy a", "abstiens", "at liberty to", "no permission", "keine ", "nicht", "ablehnen", "außerhalb dessen",
-)))
+# Wording that only softens.
 SOFTENER = re.compile(r"désolé|regrette|malheureusement|hélas,|merci (?:pour|de) votre|comprends l'|navré|sorry|unfortunately|afraid|thank you for|regret|lo siento|lamentablemente|gracias por|tut mir leid|leider|bedaure|danke|bien reçu|was received|ha llegado|eingegangen", re.I)
+# Folded text of which every match of SOFTENER holds some.
+_SOFT = tuple(map(fold, ("désolé", "regret", "malheureusement", "hélas,", "merci ", "comprends l'", "navré", "sorry", "unfortunately", "afraid", "thank you for", "lo siento", "lamentablemente", "gracias por", "tut mir leid", "leider", "bedaure", "danke", "bien reçu", "was received", "ha llegado", "eingegangen")))
 _MARKS_END = re.compile(r"[.!?。！？।؟]+[\s\"'”’»)\]}」』…*_–-]*$|[\"”»)\]}」』>]\s*[.!?]*$")
 _LOOSE = " \t\r\n\xa0\u200b\"”»“«'’`…*."
 _LIST_END = re.compile(r"(?:^|\n\s*|[;,:]\s+)(?:\d{1,2}[.)]|[a-z]\)|[-•*–—])\s*$|[\s\w]\s\d{1,2}\)\s*$")
@@ -99,6 +110,18 @@ def visible(text: str | None) -> str | None:
     return text if not text or text.isascii() else unicodedata.normalize("NFC", _CF.sub("", text))
 
 
+def declines(text: str, folded: str) -> bool:
+    """Whether a text with this folded form holds wording of refusal."""
+    if "ı" in text or "İ" in text:  # letters that match i in a pattern and don't fold to it
+        return bool(REFUSAL.search(text))
+    return any(any(w in folded for w in ws) and p.search(text) for ws, p in _REFUSED)
+
+
+def softens(text: str, folded: str) -> bool:
+    """Whether a text with this folded form holds wording that only softens."""
+    return (any(w in folded for w in _SOFT) or "ı" in text or "İ" in text) and bool(SOFTENER.search(text))
+
+
 def language(text: str, folded: list[str] | None = None) -> str | None:
     """Language of a text by script and function words; None where it can't be told."""
     if text and max(text) > "\u036f" and _OTHER_SCRIPT.search(text):
@@ -193,12 +216,13 @@ class Asked:
 
     def __init__(self, question: str | None):
         self.text = question or ""
-        self.words = words(fold(self.text))
+        folded = fold(self.text)
+        self.words = words(folded)
         self.known = frozenset(self.words)
         self._pairs: set[tuple[str, str]] | None = None
         self.language = language(self.text, self.words)
-        self.wanted = {k for k, p in _ASKS if p.search(self.text)} if self.text and _MAY_ASK.search(self.text) else set()
-
+        may = any(w in folded for w in _MAY_ASK) or "ı" in self.text or "İ" in self.text
+        self.wanted = {k for k, p in _ASKS if p.search(self.text)} if may else set()
 
     @property
     def pairs(self) -> set[tuple[str, str]]:
@@ -219,11 +243,12 @@ def features(asked: Asked, answer: str, parts: list[str], ends: EndModel) -> np.
     whole = language(answer)
     last = len(parts) - 1
     for i, part in enumerate(parts):
-        ws = words(fold(part))
+        folded = fold(part)
+        ws = words(folded)
         row = x[i]
         row[0] = 1.0
-        row[1] = 1.0 if REFUSAL.search(part) else 0.0
-        row[2] = 1.0 if SOFTENER.search(part) else 0.0
+        row[1] = 1.0 if declines(part, folded) else 0.0
+        row[2] = 1.0 if softens(part, folded) else 0.0
         pairs = list(zip(ws, ws[1:]))
         if pairs and asked.pairs:
             share = sum(p in asked.pairs for p in pairs) / len(pairs)
@@ -343,7 +368,7 @@ class PairJudge:
             not every
             and not (asked.language and lang and lang != asked.language)
             and _DECLINING.isdisjoint(ws)
-            and not (any(w in folded for w in _DECLINED) and REFUSAL.search(a))
+            and not declines(a, folded)
             and not asked.repeats(ws, 0.3)
             and not any(_ending(a, a[-80:], self.ends)[2:7])
         ):
@@ -358,7 +383,7 @@ class PairJudge:
         if tags[-1] == 4 and len(tags) > 1 and tags[-2] in (2, 3):
             share[tags[-2]] += sizes[-1] / total
         if share[1] > 0:
-            content = sum(s for s, t, p in zip(sizes, tags, parts) if t == 0 and not SOFTENER.search(p))
+            content = sum(s for s, t, p in zip(sizes, tags, parts) if t == 0 and not softens(p, fold(p)))
             if content <= 0.6 * (content + share[1] * total):
                 return "refusal"
         if share[2] >= 0.6:
