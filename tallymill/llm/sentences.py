@@ -4,20 +4,21 @@ A text is first divided into runs that no unit crosses: blank lines, list items,
 spoken turns. Within a run every place after a closing mark, and in Thai every blank, is a possible end. Whole spans
 between such places are scored jointly by how they close (mark, last word), how the next one opens (case, digit,
 quotation, script, first word), how long they are, and whether quotations and brackets inside them are balanced; the best
-sequence of spans wins. The weights of first words, last words and lengths are log odds from a bounded sample of the
+sequence of spans wins. The weights of first words, last words and lengths are log odds counted over all of the
 texts. Beyond LONG characters a span's length weighs the same, so the programme is linear in the length of a run.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymill.session import discard, materialize
+
 # Words before a full stop that are followed by what they belong to.
 BOUND_ABBREVIATIONS = frozenset(
     "m mme mmes mlle mr mrs ms dr dre pr prof me st ste sr sra srta dra hr fr frl ing no nr num núm nro pág pag art chap sect fig tab "
@@ -31,7 +32,8 @@ MONTHS = frozenset(
     "januar februar märz april mai juni juli august september oktober november dezember jänner "
     "january february march may june july october december janvier février mars avril juin juillet août septembre octobre novembre décembre".split()
 )
-FIT_DOCS = 1_000  # the bound of the sample that the weights of words and lengths are taken from
+_LEAST, _EVERY = 5, 200  # a word or length weighs from so many places on, and from one place in so many texts on
+_HELD = 100_000  # counts that a task holds before it passes them on
 LONG = 1024  # characters from which on a span's length weighs the same
 _MOST = 0.75  # the most that a word or a length weighs
 _UNBALANCED = 6.0
@@ -285,33 +287,52 @@ def _run(text: str, a: int, b: int, out: list[int], weights: Weights) -> None:
     out.extend(places[j - 1] for j in _best_spans([a, *places], scores, state, weights))
 
 
+def _count(text: str, counts: dict[tuple[str, str], list[int]]) -> None:
+    """Adds a text's sure non-ends and sure ends to counts of (kind, key), and both to the kind's total."""
+
+    def add(kind: str, key: str, sure: int) -> None:
+        for k in ((kind, key), ("all " + kind, "")):
+            counts.setdefault(k, [0, 0])[sure] += 1
+
+    for a, b, kind in layout_runs(text):
+        if kind != "run":
+            continue
+        a, b = _trim(text, a, b)
+        begin = a
+        for p, x, m in zip(*_candidates(text, a, b)):
+            if abs(x) < _SURE:
+                continue
+            sure = int(x > 0)
+            add("first", _first_word(text, p, b), sure)
+            add("last", _last_word(text, a, m), sure)
+            add("length", str(min(LONG, p - begin).bit_length()), sure)
+            if sure:
+                begin = p
+
+
+def _weights(counts: dict[tuple[str, str], tuple[int, int]]) -> Weights:
+    """Weights from counts of sure non-ends and sure ends."""
+
+    def odds(kind: str) -> dict[str, float]:
+        all_no, all_yes = counts.get(("all " + kind, ""), (0, 0))
+        base = np.log((all_yes + 1) / (all_no + 1))
+        return {w: max(-_MOST, min(_MOST, float(np.log((yes + 1) / (no + 1)) - base))) for (k, w), (no, yes) in sorted(counts.items()) if k == kind and w}
+
+    length = odds("length")
+    return Weights(odds("first"), odds("last"), [length.get(str(k), 0.0) for k in range(LONG.bit_length() + 1)])
+
+
+def _least(texts: int) -> int:
+    """Places from which on a word or length weighs: a share of the texts, so that the weights don't grow with them."""
+    return max(_LEAST, -(-texts // _EVERY))
+
+
 def fit_weights(texts: list[str]) -> Weights:
     """Weights from the sure ends and sure non-ends of unlabelled texts."""
-    first, last, length = (Counter(), Counter()), (Counter(), Counter()), (Counter(), Counter())
+    counts: dict[tuple[str, str], list[int]] = {}
     for text in texts:
-        for a, b, kind in layout_runs(text):
-            if kind != "run":
-                continue
-            a, b = _trim(text, a, b)
-            begin = a
-            for p, x, m in zip(*_candidates(text, a, b)):
-                if abs(x) < _SURE:
-                    continue
-                sure = int(x > 0)
-                first[sure][_first_word(text, p, b)] += 1
-                last[sure][_last_word(text, a, m)] += 1
-                length[sure][min(LONG, p - begin).bit_length()] += 1
-                if sure:
-                    begin = p
-
-    def odds(no: Counter, yes: Counter, key, least: int) -> float:
-        if no[key] + yes[key] < least:
-            return 0.0
-        x = float(np.log((yes[key] + 1) / (no[key] + 1)) - np.log((yes.total() + 1) / (no.total() + 1)))
-        return max(-_MOST, min(_MOST, x))
-
-    words_of = lambda pair: {w: odds(*pair, w, 5) for w in sorted(set(pair[0]) | set(pair[1])) if w}
-    return Weights(words_of(first), words_of(last), [odds(*length, k, 5) for k in range(LONG.bit_length() + 1)])
+        _count(text, counts)
+    return _weights({k: (no, yes) for k, (no, yes) in counts.items() if no + yes >= _least(len(texts)) or k[0].startswith("all ")})
 
 
 def layout_runs(text: str | None):
@@ -384,12 +405,35 @@ def _ends(weights: Weights):
     return run
 
 
-def weights_of(documents: DataFrame, key: str = "doc_id", text: str = "text", bound: int = FIT_DOCS) -> Weights:
-    """Weights from about `bound` documents picked by the hash of their key, in the order of their keys."""
-    n = documents.count()
-    base = documents.select(F.col(key).cast("bigint").alias("k"), F.col(text).cast("string").alias("t")).where("t is not null")
-    part = base if n <= bound else base.where(F.pmod(F.xxhash64("k"), F.lit(1 << 30)) < int((1 << 30) * bound / n))
-    return fit_weights([r[1] for r in sorted(part.limit(2 * bound).collect(), key=lambda r: (r[0] is None, r[0], r[1]))])
+def _counted(batches):
+    """(kind, key, no, yes): counts of a task's texts."""
+    counts: dict[tuple[str, str], list[int]] = {}
+
+    def rows():
+        keys, values = list(counts), list(counts.values())
+        columns = [[k for k, _ in keys], [w for _, w in keys], [no for no, _ in values], [yes for _, yes in values]]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["kind", "key", "no", "yes"])
+
+    for b in batches:
+        for text in b.column(0).to_pylist():
+            counts.setdefault(("all texts", ""), [0, 0])[1] += 1
+            _count(text, counts)
+            if len(counts) >= _HELD:
+                yield rows()
+                counts.clear()
+    if counts:
+        yield rows()
+
+
+def weights_of(documents: DataFrame, text: str = "text") -> Weights:
+    """Weights from all documents; what reaches the driver is bounded by the share of the texts that a word must be in."""
+    texts = documents.select(F.col(text).cast("string").alias("t")).where("t is not null")
+    counted = materialize(texts.mapInArrow(_counted, "kind string, key string, no bigint, yes bigint").groupBy("kind", "key").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes")), "sentence-words")
+    totals = {(r.kind, ""): (r.no, r.yes) for r in counted.where("kind like 'all %'").collect()}
+    least = _least(totals.get(("all texts", ""), (0, 0))[1])
+    often = counted.where("kind not like 'all %'").where(F.col("no") + F.col("yes") >= least).collect()
+    discard(counted)
+    return _weights(totals | {(r.kind, r.key): (r.no, r.yes) for r in often})
 
 
 def sentence_units(documents: DataFrame, key: str = "doc_id", text: str = "text", weights: Weights | None = None) -> DataFrame:
@@ -398,5 +442,5 @@ def sentence_units(documents: DataFrame, key: str = "doc_id", text: str = "text"
     A unit starts at the first non-blank character after the one before. Null, empty and blank texts have no unit; whole
     texts of any length are read, repeated rows each give their units, and other columns aren't read.
     """
-    run = _ends(weights or weights_of(documents, key, text))
+    run = _ends(weights or weights_of(documents, text))
     return documents.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, end_pos bigint")

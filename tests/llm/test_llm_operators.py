@@ -392,6 +392,18 @@ def test_words_and_lengths_weigh():
     assert sentences.sentence_ends("Un café (au กาแฟ) is good. Yes.") == [26, 31]  # one Thai word makes no Thai text
 
 
+def test_weights_come_from_every_document(spark):
+    rng = random.Random(3)
+    say = lambda: rng.choice(("La boucle compte mal.", "Elle attend M. Petit à Lyon.", "On reprend demain, dit M. Dupont, avec elle.", "Les voies sont 3. La file est lente."))
+    texts = [" ".join(say() for _ in range(rng.randint(1, 6))) for _ in range(2500)]
+    table = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id bigint, text string")
+    want = sentences.fit_weights(texts)
+    for t in (table, table.repartition(7, "text")):
+        got = sentences.weights_of(t)
+        assert (got.first, got.last, got.length) == (want.first, want.last, want.length)
+    assert any(0 < abs(x) < 0.75 for x in [*want.first.values(), *want.last.values(), *want.length])
+
+
 def test_leaks_with_edits_accents_and_short_items(spark):
     rng = random.Random(18)
     voc = [f"mot{i}" for i in range(900)]
