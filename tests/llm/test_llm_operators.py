@@ -463,6 +463,19 @@ def test_refusals_are_told_by_their_own_words(answer, monkeypatch):
         assert not pairs.declines(answer, fold(answer))
 
 
+def test_the_judge_is_fitted_on_every_row(spark):
+    rng = random.Random(8)
+    say = lambda: f"La boucle {rng.randint(1, 99)} du pont compte {rng.choice(('mal', 'bien', 'trop'))} les {rng.choice(('camions', 'bus', 'motos'))}."
+    qa = [(f"Pourquoi {say().lower()[:-1]} ?", " ".join(say() for _ in range(1 + i % 3))) for i in range(6000)]
+    qa += [("Et la file ?", "Elle est lente, vu le zénith.")] * 7 + [("Et la file ?", " ".join("Elle est lente." for _ in range(30))), (None, None)]
+    want = pairs.train_judge(qa)
+    for table in (log(spark, qa), log(spark, qa).repartition(7, "a")):
+        got = pairs.judge_on(table)
+        assert got.ends.vocabulary == want.ends.vocabulary and got.ends.grams == want.ends.grams
+        assert (got.field.w == want.field.w).all() and (got.field.t == want.field.t).all()
+    assert len(pairs._example(b"c", pairs.np.zeros((30, pairs.N_FEATURES)), [0] * 30)) == 3  # long answers are kept whole
+
+
 def test_subset_with_more_channels_than_places(spark):
     table = spark.createDataFrame([(i, f"Question {i} sur la boucle {i % 17} ?", "x", f"canal {i % 30 if i % 2 else 0}", "c", "c", "c") for i in range(900)], LOG)
     got = rows(varied.varied_subset(table, 10))
