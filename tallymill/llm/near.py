@@ -4,8 +4,9 @@ Two records are alike if at least 0.65 of all their words are common. Words are
 pair's words share one about once in a million pairs). Each distinct word set is written under the rarest of its words,
 as many as a partner could miss, each time with a parity sketch of the words that follow in the order of rarity.
 Records that share a word meet in tiles, where exclusive-or and bit counts of the sketches bound their distance from
-below; tile pairs whose counts of following words differ beyond the radius are skipped. What is left is compared word
-by word.
+below; tile pairs whose counts of following words differ beyond the radius are skipped. In a large block sets that may
+differ by few words meet only where a stretch of their sketches is equal, since r differing words can't reach each of
+r + 1 stretches. What is left is compared word by word.
 
 With sizes m and n, alike means 33 common >= 13 (m + n), that is a difference of at most 7 (m + n) / 33. If the first
 common word in the order of rarity stands at p and q, then p + q words differ before it, so the words after it differ
@@ -31,7 +32,9 @@ from tallymill.session import materialize
 _HEIGHT, _WIDTH = 128, 2048
 _SMALL, _MEDIUM = 24, 1024
 _FLUSH = 40_000
-_BLOCK = 1 << 16  # rows of a word's shard: a block is worked in pairs of shards, so no task needs more than two of them
+_BLOCK = 1 << 19  # rows of a word's shard: a block is worked in pairs of shards, so no task needs more than two of them
+_LEVELS = ((4, 1 << 14), (7, 1 << 15), (9, 1 << 19))  # radius up to which stretches are compared, rows from which that pays
+_PROBE = 400_000  # pairs looked at together
 _ROWS = 100_000  # prefix rows of a shuffle partition, so that partitions don't grow with the data
 _PARTS = 20_000
 _WORD_CACHE = 200_000
@@ -224,6 +227,11 @@ def _tiles(s, slack, rest, first, sk) -> list[np.ndarray]:
     x = np.empty((_HEIGHT, _WIDTH), dtype=np.uint64)
     d = np.empty((_HEIGHT, _WIDTH), dtype=np.uint8)
     out, left_of, right_of, held = [], [], [], 0
+    done = -1  # pairs whose bands make at most this radius are found
+    for most_apart, least in _LEVELS:
+        if len(sk) < least or not _equal_stretches(s, slack, first, sk, done + 1, most_apart, out):
+            break
+        done = most_apart
     for a, b, top in bands:
         lead = a + np.flatnonzero(first[a:b])
         for k in range(0, len(lead), _HEIGHT):
@@ -232,7 +240,7 @@ def _tiles(s, slack, rest, first, sk) -> list[np.ndarray]:
             left = s[0, i][:, None]
             for a2, b2, top2 in bands:
                 radius = (top + top2) // 33
-                if radius < 0:
+                if radius < 0 or 1 - int(band[a]) - int(band[a2]) <= done:
                     break
                 lo = a2 + int(np.searchsorted(rest[a2:b2], fewest - radius))  # beyond it the counts differ too much
                 hi = a2 + int(np.searchsorted(rest[a2:b2], most + radius, side="right"))
@@ -253,6 +261,54 @@ def _tiles(s, slack, rest, first, sk) -> list[np.ndarray]:
     return out
 
 
+def _equal_stretches(s, slack, first, sk, low: int, high: int, out: list[np.ndarray]) -> bool:
+    """Adds the candidate pairs of rows whose slacks make a radius of low to high, by their equal stretches of sketch.
+
+    Whole slacks count, so that the radius is at most their sum and one. False, with pairs left out, where stretches are
+    equal so often that comparing tiles is less work.
+    """
+    whole = slack // 33
+    if np.abs(whole).max() >= 1 << 18:
+        return False
+    values, counts = np.unique(whole, return_counts=True)
+    upto = np.append(0, np.cumsum(counts))
+    span = lambda r: upto[np.searchsorted(values, r - 1 - values, side="right")]
+    work = int((counts * (span(high) - span(low - 1))).sum()) // 2
+    width = 128 // (high + 1)
+    bits = min(width, 40)
+    for k in range(0, (high + 1) * width, width):
+        if k >= 64:
+            part = s[1] >> np.uint64(k - 64)
+        else:
+            part = s[0] >> np.uint64(k)
+            if k + bits > 64:
+                part = part | (s[1] << np.uint64(64 - k))
+        key = ((part & np.uint64((1 << bits) - 1)).astype(np.int64) << 20) | (whole + (1 << 19))
+        order = np.argsort(key)
+        key = key[order]
+        mid = (key >> 20 << 20) + (1 << 20) - (key & ((1 << 20) - 1)) - 1  # the same stretch, the whole slack that makes a radius of 0
+        begin = np.maximum(np.searchsorted(key, mid + low), np.arange(1, len(key) + 1))
+        many = np.maximum(np.searchsorted(key, mid + high, side="right") - begin, 0)
+        total = np.cumsum(many)
+        if 12 * (high + 1) * int(total[-1]) > work:
+            return False
+        s0, s1, own = s[0][order], s[1][order], slack[order]
+        a = 0
+        while a < len(key) and total[-1] > (before := int(total[a - 1]) if a else 0):
+            b = max(a + 1, int(np.searchsorted(total, before + _PROBE, side="right")))
+            n = many[a:b]
+            i = np.repeat(np.arange(a, b), n)
+            j = np.arange(len(i)) + np.repeat(begin[a:b] - (total[a:b] - n - before), n)
+            d = np.bitwise_count(s0[i] ^ s0[j])
+            near = np.flatnonzero(d <= high)
+            i, j = i[near], j[near]
+            near = 33 * (d[near].astype(np.int64) + np.bitwise_count(s1[i] ^ s1[j])) <= own[i] + own[j]
+            if near.any():
+                out.append(_near(s, slack, first, sk, order[i[near]], order[j[near]]))
+            a = b
+    return True
+
+
 def _blocks(tok, meta, sk, s) -> np.ndarray:
     """Distinct candidate pairs of rows sorted by tok."""
     size, place, first = meta >> 32, (meta & 0xFFFFFFFF) >> 1, (meta & 1) == 1

@@ -497,3 +497,27 @@ def test_blocks_in_shards_lose_no_link(spark, monkeypatch):
     key = {r.rid: r.sk for r in profiles.collect()}
     got = {tuple(sorted(r)) for r in near.similar_sets(profiles).collect()}
     assert got == {tuple(sorted((key[i], key[j]))) for i, j in want} and got
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_equal_stretches_lose_no_pair_of_a_large_block(monkeypatch, alike):
+    np = near.np
+    rng = np.random.default_rng(7)
+    n = 1500
+    s = rng.integers(0, 1 << 63, (2, n), dtype=np.uint64)
+    for i in range(0, n // 2, 2):  # a partner that differs in up to 12 bits
+        flips = rng.integers(0, 128, rng.integers(1, 13))
+        s[:, i + 1] = s[:, i]
+        for k in flips:
+            s[k // 64, i + 1] ^= np.uint64(1) << np.uint64(k % 64)
+    if alike:
+        s[:] = s[:, :1]
+    slack, sk, rest = rng.integers(-200, 300, n), np.arange(n), np.full(n, 40)
+    first = slack >= 0
+    i, j = np.triu_indices(n, 1)
+    want = {tuple(p) for p in near._near(s, slack, first, sk, i, j).T.tolist()}
+    monkeypatch.setattr(near, "_LEVELS", ((4, 1), (7, 1), (9, 1)))
+    monkeypatch.setattr(near, "_PROBE", 50)
+    got = {tuple(p) for found in near._tiles(s, slack, rest, first, sk) for p in found.T.tolist()}
+    assert got == want and len(want) > 50
+    assert near._equal_stretches(s, slack, first, sk, 0, 4, []) is not alike  # by stretches, unless all are equal
