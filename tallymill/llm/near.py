@@ -11,7 +11,9 @@ r + 1 stretches. What is left is compared word by word.
 With sizes m and n, alike means 33 common >= 13 (m + n), that is a difference of at most 7 (m + n) / 33. If the first
 common word in the order of rarity stands at p and q, then p + q words differ before it, so the words after it differ
 by at most (7 m - 33 p + 7 n - 33 q) / 33: that is the radius. It is negative unless 33 p <= 7 m on at least one side
-(the short prefix) and 20 q <= 7 n on the other (the long one). No link is lost.
+(the short prefix) and 20 q <= 7 n on the other (the long one). Nor is a set written under a frequent word if no set of
+that word, with the largest 7 m - 33 p among those with about as many words to follow, makes a radius with it that
+reaches their difference in number. No link is lost.
 """
 
 from __future__ import annotations
@@ -35,9 +37,11 @@ _FLUSH = 40_000
 _BLOCK = 1 << 19  # rows of a word's shard: a block is worked in pairs of shards, so no task needs more than two of them
 _LEVELS = ((4, 1 << 14), (7, 1 << 15), (9, 1 << 19))  # radius up to which stretches are compared, rows from which that pays
 _PROBE = 400_000  # pairs looked at together
+_FOLLOW, _SPAN = 32, 8  # steps of the number of words that follow, words of a step
 _ROWS = 100_000  # prefix rows of a shuffle partition, so that partitions don't grow with the data
 _PARTS = 20_000
 _WORD_CACHE = 200_000
+_NONE = -(1 << 40)
 _KEYS = "tok bigint, meta bigint, sk bigint, s0 bigint, s1 bigint"
 
 
@@ -124,10 +128,14 @@ def _counts(batches):
 
 
 def _hot_prefixes(hot: np.ndarray, rank: np.ndarray):
-    """(k, n): how many prefixes hold each frequent word, by its place in `hot`."""
+    """(k, f, n, top): prefixes that hold each frequent word, by its place in `hot` and the step of how many words follow.
+
+    n is their number, top the largest 7 m - 33 p among them.
+    """
 
     def run(batches):
-        total = np.zeros(len(hot), dtype=np.int64)
+        total = np.zeros(len(hot) * _FOLLOW, dtype=np.int64)
+        top = np.full(len(total), _NONE, dtype=np.int64)
         for b in batches:
             tok, n = _flat(b)
             if not len(tok):
@@ -142,14 +150,31 @@ def _hot_prefixes(hot: np.ndarray, rank: np.ndarray):
             owner, at = owner[perm], at[perm]
             held = np.bincount(owner, minlength=len(n))
             place = rare[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(held) - held, held)
-            total += np.bincount(at[20 * place <= 7 * n[owner]], minlength=len(hot))
+            size = n[owner].astype(np.int64)
+            long = 20 * place <= 7 * size
+            k = (at * _FOLLOW + _follow(size - place))[long]
+            total += np.bincount(k, minlength=len(total))
+            np.maximum.at(top, k, (7 * size - 33 * place)[long])
         k = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(total[k])], names=["k", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(k // _FOLLOW), pa.array(k % _FOLLOW), pa.array(total[k]), pa.array(top[k])], names=["k", "f", "n", "top"])
 
     return run
 
 
-def _prefixes(hot: np.ndarray, rank: np.ndarray, shards: np.ndarray, twice: np.ndarray):
+def _follow(rest: np.ndarray) -> np.ndarray:
+    """Step of the number of words that follow."""
+    return np.minimum(rest // _SPAN, _FOLLOW - 1)
+
+
+def _reach(top: np.ndarray) -> np.ndarray:
+    """Largest 7 m - 33 p of a partner for each word and step, less what the difference in words that follow takes."""
+    steps = np.arange(_FOLLOW)
+    gap = np.abs(steps[:, None] - steps)
+    least = np.where(gap > 0, _SPAN * (gap - 1) + 1, 0)
+    return np.stack([(top - 33 * least[f]).max(axis=1) for f in range(_FOLLOW)], axis=1)
+
+
+def _prefixes(hot: np.ndarray, rank: np.ndarray, shards: np.ndarray, reach: np.ndarray, twice: np.ndarray):
     """Rows (tok, meta, sk, sketch) of the prefixes; meta is size, place and whether the place is in the short prefix.
 
     A frequent word's sets are spread over `shards` by their key, and each is written once for every pair of shards it
@@ -176,6 +201,9 @@ def _prefixes(hot: np.ndarray, rank: np.ndarray, shards: np.ndarray, twice: np.n
             size = n[owner].astype(np.int64)
             short = 33 * place <= 7 * size
             keep = np.flatnonzero((short | (20 * place <= 7 * size)) & hits(tok & np.uint32((64 * len(twice)) - 1), twice))
+            if len(hot):
+                p = place[keep]
+                keep = keep[~is_hot[keep] | (7 * size[keep] - 33 * p + reach[at[keep], _follow(size[keep] - p)] >= 0)]
             many = np.where(is_hot[keep], shards[at[keep]] if len(hot) else 1, 1)
             copies = np.repeat(np.arange(len(keep)), many)
             other = np.arange(len(copies)) - np.repeat(np.cumsum(many) - many, many)
@@ -391,15 +419,18 @@ def similar_sets(profiles: DataFrame) -> DataFrame:
     count = top["n"].to_numpy(dtype=np.int64)
     rank = np.empty(len(hot), dtype=np.int64)
     rank[np.lexsort((hot, count))] = np.arange(len(hot))
-    shards = np.ones(len(hot), dtype=np.int64)
+    held, top = np.zeros((len(hot), _FOLLOW), dtype=np.int64), np.full((len(hot), _FOLLOW), _NONE, dtype=np.int64)
     if len(hot):
-        held = sets.select("toks").mapInArrow(_hot_prefixes(hot, rank), "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
-        shards[held["k"].to_numpy(dtype=np.int64)] = -(-held["n"].to_numpy(dtype=np.int64) // _BLOCK)
+        made = sets.select("toks").mapInArrow(_hot_prefixes(hot, rank), "k bigint, f bigint, n bigint, top bigint")
+        got = made.groupBy("k", "f").agg(F.sum("n").alias("n"), F.max("top").alias("top")).toPandas()
+        at = got["k"].to_numpy(dtype=np.int64), got["f"].to_numpy(dtype=np.int64)
+        held[at], top[at] = got["n"].to_numpy(dtype=np.int64), got["top"].to_numpy(dtype=np.int64)
+    shards = np.maximum(1, -(-held.sum(axis=1) // _BLOCK))
     bits = np.zeros(1 << 19, dtype=np.uint64)
     place = F.col("tok").bitwiseAND((64 << 19) - 1)
     got = counted.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b")).toPandas()
     bits[got["w"].to_numpy(dtype=np.int64)] = got["b"].to_numpy(dtype=np.int64).view(np.uint64)
-    keys = sets.select("sk", "toks").mapInArrow(_prefixes(hot, rank, shards, bits), _KEYS)
+    keys = sets.select("sk", "toks").mapInArrow(_prefixes(hot, rank, shards, _reach(top), bits), _KEYS)
     # a prefix holds about 7 / 20 of a set's words
     parts = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(_PARTS, -(-7 * written // (20 * _ROWS))))
     met = keys.repartition(parts, "tok").sortWithinPartitions("tok").mapInArrow(_candidates, "a bigint, b bigint")

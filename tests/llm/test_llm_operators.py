@@ -521,3 +521,33 @@ def test_equal_stretches_lose_no_pair_of_a_large_block(monkeypatch, alike):
     got = {tuple(p) for found in near._tiles(s, slack, rest, first, sk) for p in found.T.tolist()}
     assert got == want and len(want) > 50
     assert near._equal_stretches(s, slack, first, sk, 0, 4, []) is not alike  # by stretches, unless all are equal
+
+
+def test_no_set_is_written_under_a_frequent_word_without_a_partner_in_reach():
+    np, pa = near.np, near.pa
+    rng = random.Random(3)
+    sets_ = []
+    for _ in range(120):  # words 0-9 are frequent, the others not
+        base = {rng.randrange(100, 400) for _ in range(rng.randint(0, 9))} | set(rng.sample(range(10), rng.randint(3, 9)))
+        sets_ += [base, base ^ {rng.randrange(10)}, base ^ {rng.randrange(100, 400)}]
+    sets_ = sorted(set(map(frozenset, sets_)), key=sorted)
+    toks = pa.array([sorted(x) for x in sets_], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets_)), pa.int64()), toks], names=["sk", "toks"])
+    hot, rank, one, every = np.arange(10, dtype=np.uint32), np.arange(10), np.ones(10, dtype=np.int64), np.full(1 << 19, ~np.uint64(0))
+    top = np.full((10, near._FOLLOW), near._NONE, dtype=np.int64)
+    for b in near._hot_prefixes(hot, rank)([batch]):
+        k, f, _, most = (c.to_numpy() for c in b.columns)
+        np.maximum.at(top, (k, f), most)
+
+    def written(reach):
+        columns = [np.concatenate(c) for c in zip(*([x.to_numpy() for x in b.columns] for b in near._prefixes(hot, rank, one, reach, every)([batch])))]
+        order = np.argsort(columns[0], kind="stable")
+        tok, meta, sk, *s = (c[order] for c in columns)
+        found = near._blocks(tok, meta, sk, np.stack([x.view(np.uint64) for x in s])).T.tolist()
+        return len(tok), {(a, b) for a, b in found if near.alike(len(sets_[a] & sets_[b]), len(sets_[a]), len(sets_[b]))}
+
+    all_rows, want = written(np.full((10, near._FOLLOW), 1 << 40, dtype=np.int64))
+    few_rows, got = written(near._reach(top))
+    brute = {(a, b) for a, b in itertools.combinations(range(len(sets_)), 2) if near.alike(len(sets_[a] & sets_[b]), len(sets_[a]), len(sets_[b]))}
+    assert got == want == brute and brute
+    assert few_rows < all_rows
