@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
+from collections import Counter, _count_elements
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,7 @@ _SCRIPTS = (
     ("el", regex.compile(r"\p{Greek}")),
 )
 _OTHER_SCRIPT = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Cyrillic}\p{Arabic}\p{Devanagari}\p{Thai}\p{Hangul}\p{Greek}]")
+_BEYOND_LATIN = re.compile("[\u0370-\U0010ffff]")
 _LATIN = regex.compile(r"\p{Latin}")
 # Names of languages as a question may ask for them.
 ASKED = {
@@ -107,6 +109,7 @@ _SIGNED = re.compile(r"(?:^|\n)\s*(?:cordialement|bien à vous|salutations|regar
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*['’]?|\d+|[^\w\s]")
 _CODE = re.compile(r"(?:[A-Za-z0-9]{2,5}-)+\d{2,4}\b|\b[A-Za-z]\d{1,4}\b|\w+_\w+\.\w+|\d+(?:[.,:/+]\d+)+")
 _STOP = frozenset(".?!…")
+_KNOWN: dict[str, list[str]] = {}
 _CF = regex.compile(r"\p{Cf}+")
 
 
@@ -115,36 +118,55 @@ def visible(text: str | None) -> str | None:
     return text if not text or text.isascii() else unicodedata.normalize("NFC", _CF.sub("", text))
 
 
-def declines(text: str, folded: str) -> bool:
-    """Whether a text with this folded form holds wording of refusal."""
+def _folded(text: str) -> str:
+    """fold() of a visible text."""
+    return text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).casefold()
+
+
+def _words_of(text: str) -> list[str]:
+    """words(fold()) of a text; no word spans a blank, so pieces that are met again are known."""
+    out: list[str] = []
+    for piece in text.split():
+        if (ws := _KNOWN.get(piece)) is None:
+            if len(_KNOWN) >= _HELD:
+                _KNOWN.clear()
+            ws = _KNOWN[piece] = words(fold(piece))
+        out += ws
+    return out
+
+
+def _may_decline(folded: str, of: list | None = None) -> list:
+    """Patterns of refusal, of those named, whose own words a folded text holds."""
+    return [(ws, p) for ws, p in (_REFUSED if of is None else of) if any(map(folded.__contains__, ws))]
+
+
+def declines(text: str, folded: str, of: list | None = None) -> bool:
+    """Whether a text with this folded form holds wording of refusal; `of`: the patterns that can match in it."""
     if "ı" in text or "İ" in text:  # letters that match i in a pattern and don't fold to it
         return bool(REFUSAL.search(text))
-    return any(any(w in folded for w in ws) and p.search(text) for ws, p in _REFUSED)
+    return any(p.search(text) for _, p in _may_decline(folded, of))
 
 
-def softens(text: str, folded: str) -> bool:
-    """Whether a text with this folded form holds wording that only softens."""
-    return (any(w in folded for w in _SOFT) or "ı" in text or "İ" in text) and bool(SOFTENER.search(text))
+def softens(text: str, folded: str, of: list | tuple = _SOFT) -> bool:
+    """Whether a text with this folded form holds wording that only softens; `of`: the words of it that it can hold."""
+    return (any(map(folded.__contains__, of)) or "ı" in text or "İ" in text) and bool(SOFTENER.search(text))
 
 
 def language(text: str, folded: list[str] | None = None) -> str | None:
     """Language of a text by script and function words; None where it can't be told."""
-    if text and max(text) > "\u036f" and _OTHER_SCRIPT.search(text):
+    if not text.isascii() and _BEYOND_LATIN.search(text) and _OTHER_SCRIPT.search(text):
         other = len(_OTHER_SCRIPT.findall(text))
         if other * 3 > len(_LATIN.findall(text)) or other > 12:
             for name, pattern in _SCRIPTS:
                 if pattern.search(text):
                     return name
-    counts: dict[str, int] = {}
-    for k in map(_OF_LANGUAGE.get, folded if folded is not None else words(fold(text))):
-        if k is not None:
-            counts[k] = counts.get(k, 0) + 1
-    if not counts:
+    told = list(filter(None, map(_OF_LANGUAGE.get, folded if folded is not None else words(fold(text)))))
+    if not told:
         return None
-    ranked = sorted(counts.items(), key=lambda kv: -kv[1])
-    if len(ranked) > 1 and ranked[0][1] < 2 * ranked[1][1]:
+    ranked = sorted(((told.count(k), k) for k in set(told)), reverse=True)
+    if len(ranked) > 1 and ranked[0][0] < 2 * ranked[1][0]:
         return None
-    return ranked[0][0]
+    return ranked[0][1]
 
 
 def common_words(seen: dict[str, int], texts: int) -> frozenset[str]:
@@ -156,14 +178,15 @@ class EndModel:
     """Chance that a sentence ends after its last three tokens, by backed-off counts over all sentences."""
 
     def __init__(self, texts: list[str] | None = None, vocabulary: frozenset[str] | None = None):
-        self._told: tuple[dict[str, str], dict[str, str]] = ({}, {})
+        self._told: tuple[dict[str, list[str]], dict[str, list[str]]] = ({}, {})
         self.grams: dict[str, tuple[int, float]] = {}
         self.vocabulary = common_words(Counter(w for t in texts for w in words(fold(t))), len(texts)) if vocabulary is None else vocabulary
         if texts:
-            counts: dict[str, list[int]] = {}
+            met: dict[str, int] = {}
+            ended: dict[str, int] = {}
             for t in texts:
-                self.count(t, counts)
-            self.take(((g, n, e) for g, (n, e) in counts.items()), len(texts))
+                self.count(t, met, ended)
+            self.take(((g, n, ended.get(g, 0)) for g, n in met.items()), len(texts))
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_told": ({}, {})}
@@ -177,38 +200,36 @@ class EndModel:
         """Keeps the runs of (run, times met, times at an end) that are met often enough; as many ends as one word needs are chance."""
         self.grams = {g: (n, max(0, e - self.least(1, texts))) for g, n, e in counts if n >= self.least(g.count(" ") + 1, texts)}
 
-    def count(self, text: str, counts: dict[str, list[int]]) -> None:
-        """Adds a text's runs of up to three tokens to counts of how often they are met and end a sentence."""
-
-        def met(body: list[str]) -> None:
-            for run in (body, map(" ".join, zip(body, body[1:])), map(" ".join, zip(body, body[1:], body[2:]))):
-                for g in run:
-                    if (c := counts.get(g)) is None:
-                        counts[g] = [1, 0]
-                    else:
-                        c[0] += 1
-
+    def count(self, text: str, met: dict[str, int], ended: dict[str, int]) -> None:
+        """Adds a text's runs of up to three tokens to counts of how often they are met, and end a sentence."""
         body: list[str] = []
-        for w in self.tokens(text.replace("...", "…")):  # three dots end no sentence: cut texts have them
-            if w not in _STOP:
+        runs: list[str] = []
+        tokens = self.tokens(text.replace("...", "…"))  # three dots end no sentence: cut texts have them
+        tokens.append("")
+        for w in tokens:
+            if w and w not in _STOP:
                 body.append(w)
                 continue
-            met(body)
-            if len(body) >= 3 and w != "…":
-                for n in (1, 2, 3):
-                    counts[" ".join(body[-n:])][1] += 1
+            two = [f"{a} {b}" for a, b in zip(body, body[1:])]
+            three = [f"{a} {b}" for a, b in zip(two, body[2:])]
+            runs += body
+            runs += two
+            runs += three
+            if len(body) >= 3 and w and w != "…":
+                for g in (body[-1], two[-1], three[-1]):
+                    ended[g] = ended.get(g, 0) + 1
             body = []
-        met(body)
+        _count_elements(met, runs)
 
     def tokens(self, text: str) -> list[str]:
         mixed = not (text.isupper() or text.islower() or text.istitle())
         told, out = self._told[mixed], []
-        for w in _TOKEN.findall(_CODE.sub(" ¤ ", text)):
-            if (token := told.get(w)) is None:
+        for piece in text.split():  # no token spans a blank
+            if (tokens := told.get(piece)) is None:
                 if len(told) >= _HELD:
                     told.clear()
-                token = told[w] = self._token(w, mixed)
-            out.append(token)
+                tokens = told[piece] = [self._token(w, mixed) for w in _TOKEN.findall(_CODE.sub(" ¤ ", piece))]
+            out += tokens
         return out
 
     def _token(self, w: str, mixed: bool) -> str:
@@ -253,16 +274,16 @@ def clauses(answer: str) -> list[str]:
 
 
 class Asked:
-    """What a question gives to compare its answer's clauses with."""
+    """What a question, as a visible text, gives to compare its answer's clauses with."""
 
     def __init__(self, question: str | None):
         self.text = question or ""
-        folded = fold(self.text)
-        self.words = words(folded)
+        folded = _folded(self.text)
+        self.words = _words_of(self.text)
         self.known = frozenset(self.words)
         self._pairs: set[tuple[str, str]] | None = None
         self.language = language(self.text, self.words)
-        may = any(w in folded for w in _MAY_ASK) or "ı" in self.text or "İ" in self.text
+        may = any(map(folded.__contains__, _MAY_ASK)) or "ı" in self.text or "İ" in self.text
         self.wanted = {k for k, p in _ASKS if p.search(self.text)} if may else set()
 
     @property
@@ -278,33 +299,43 @@ class Asked:
         return sum(map(self.pairs.__contains__, zip(ws, ws[1:]))) >= share * len(ws)
 
 
-def features(asked: Asked, answer: str, parts: list[str], ends: EndModel) -> np.ndarray:
-    """One row of features for each clause."""
-    x = np.zeros((len(parts), N_FEATURES))
-    whole = language(answer)
-    last = len(parts) - 1
-    for i, part in enumerate(parts):
-        folded = fold(part)
-        ws = words(folded)
-        row = x[i]
-        row[0] = 1.0
-        row[1] = 1.0 if declines(part, folded) else 0.0
-        row[2] = 1.0 if softens(part, folded) else 0.0
-        pairs = list(zip(ws, ws[1:]))
-        if pairs and asked.pairs:
-            share = sum(p in asked.pairs for p in pairs) / len(pairs)
+def _clauses_told(folded: str, parts: list[str], told: dict) -> None:
+    """Adds to `told` what a clause says by itself: refusal, softening, word pairs, language, number of words."""
+    new = [part for part in parts if part not in told]
+    if len(new) > 1:  # what the whole doesn't hold no clause does
+        refusals, soft = _may_decline(folded), [w for w in _SOFT if w in folded]
+    for part in new:
+        f = _folded(part)
+        ws = _words_of(part)
+        of = (refusals, soft) if len(new) > 1 and f in folded else (None, _SOFT)
+        told[part] = (declines(part, f, of[0]), softens(part, f, of[1]), list(zip(ws, ws[1:])), language(part, ws), len(ws))
+
+
+def features(asked: Asked, answer: str, parts: list[str], ends: EndModel, told: dict | None = None) -> np.ndarray:
+    """One row of features for each clause; `told` keeps what clauses and answers say by themselves. Texts are visible ones."""
+    told = {} if told is None else told
+    if (told_whole := told.get((answer,))) is None:
+        folded = _folded(answer)
+        told_whole = told[(answer,)] = folded, language(answer, _words_of(answer))
+    folded, whole = told_whole
+    _clauses_told(folded, parts, told)
+    known, rows = asked.pairs, []
+    for part in parts:
+        refusing, soft, pairs, lang, n = told[part]
+        row = [1.0, float(refusing), float(soft), *[0.0] * (N_FEATURES - 3)]
+        if pairs and known:
+            share = sum(map(known.__contains__, pairs)) / len(pairs)
             row[3] = int(share * _STEPS) / _STEPS
-            row[4] = 1.0 if share >= 0.55 else 0.0
-            row[5] = 1.0 if share >= 0.8 else 0.0
-        lang = language(part, ws) or whole
+            row[4] = float(share >= 0.55)
+            row[5] = float(share >= 0.8)
+        lang = lang or whole
         if lang and asked.language and lang != asked.language and lang not in asked.wanted:
             row[6] = 1.0
-            row[7] = 1.0 if whole == lang else 0.0
-        if len(ws) <= 8:
-            row[8] = 1.0
-        if i == last:
-            row[9:] = _ending(answer, part, ends)
-    return x
+            row[7] = float(whole == lang)
+        row[8] = float(n <= 8)
+        rows.append(row)
+    rows[-1][9:] = _ending(answer, parts[-1], ends)
+    return np.array(rows)
 
 
 def _ending(answer: str, part: str, ends: EndModel) -> list[float]:
@@ -329,6 +360,25 @@ def _ending(answer: str, part: str, ends: EndModel) -> list[float]:
     return [1.0, float(full), float(p < 0.004), float(0.004 <= p < 0.02), float(0.02 <= p < 0.06), float(opened), float(listed or dangling), float(fielded)]
 
 
+class Pair:
+    """A pair of visible texts and what is found out about it, each once."""
+
+    def __init__(self, q: str | None, a: str | None, ends: EndModel):
+        self.q, self.a, self.ends, self.told = visible(q), visible(a), ends, {}
+
+    @cached_property
+    def asked(self) -> Asked:
+        return Asked(self.q)
+
+    @cached_property
+    def parts(self) -> list[str]:
+        return clauses(self.a)
+
+    @cached_property
+    def features(self) -> np.ndarray:
+        return features(self.asked, self.a, self.parts, self.ends, self.told)
+
+
 class Field:
     """Linear-chain conditional random field: label weights on features and on neighbouring labels."""
 
@@ -393,6 +443,25 @@ class Field:
         return out[::-1]
 
 
+def holds_any(answer: str | None) -> bool:
+    """Whether an answer has a letter or digit."""
+    return bool(answer) and any(map(str.isalnum, answer))
+
+
+def shows_sign(pair: Pair) -> bool:
+    """Whether an answer that isn't empty shows a sign of any label but answer."""
+    a, asked = pair.a, pair.asked
+    folded, ws = _folded(a), _words_of(a)
+    lang = language(a, ws)
+    return bool(
+        (asked.language and lang and lang != asked.language)
+        or not _DECLINING.isdisjoint(ws)
+        or declines(a, folded)
+        or asked.repeats(ws, 0.3)
+        or any(_ending(a, a[-80:], pair.ends)[2:7])
+    )
+
+
 class PairJudge:
     """Defect of a pair, from the tagged clauses of its answer."""
 
@@ -401,32 +470,22 @@ class PairJudge:
 
     def defect(self, q: str | None, a: str | None, every: bool = False) -> str | None:
         """Defect or None; `every` sends answers through the field that show no sign of any label but answer, too."""
-        if not a or not any(c.isalnum() for c in a):
+        if not holds_any(a):
             return "empty"
-        q, a = visible(q), visible(a)
-        folded = fold(a)
-        asked, ws = Asked(q), words(folded)
-        lang = language(a, ws)
-        if (
-            not every
-            and not (asked.language and lang and lang != asked.language)
-            and _DECLINING.isdisjoint(ws)
-            and not declines(a, folded)
-            and not asked.repeats(ws, 0.3)
-            and not any(_ending(a, a[-80:], self.ends)[2:7])
-        ):
+        pair = Pair(q, a, self.ends)
+        if not (every or shows_sign(pair)) or not pair.parts:
             return None  # no clause can carry another label far enough to decide the pair
-        parts = clauses(a)
-        if not parts:
-            return None
-        tags = self.field.tag(features(asked, a, parts, self.ends))
-        sizes = [max(1, len(p)) for p in parts]
+        return self.decide(pair.features, [max(1, len(p)) for p in pair.parts])
+
+    def decide(self, x: np.ndarray, sizes: list[int]) -> str | None:
+        """Defect or None, from the features and sizes of an answer's clauses."""
+        tags = self.field.tag(x)
         total = sum(sizes)
         share = [sum(s for s, t in zip(sizes, tags) if t == k) / total for k in range(len(LABELS))]
         if tags[-1] == 4 and len(tags) > 1 and tags[-2] in (2, 3):
             share[tags[-2]] += sizes[-1] / total
         if share[1] > 0:
-            content = sum(s for s, t, p in zip(sizes, tags, parts) if t == 0 and not softens(p, fold(p)))
+            content = sum(s for s, t, soft in zip(sizes, tags, x[:, 2]) if t == 0 and not soft)
             if content <= 0.6 * (content + share[1] * total):
                 return "refusal"
         if share[2] >= 0.6:
@@ -446,15 +505,16 @@ def _example(kind: bytes, x: np.ndarray, labels: list[int]) -> list[bytes]:
     return out
 
 
-def examples(q: str | None, a: str | None, ends: EndModel) -> list[bytes]:
+def examples(q: str | None, a: str | None, ends: EndModel, pair: Pair | None = None) -> list[bytes]:
     """What the field learns from a pair: a clean one as it is and once broken on purpose, or a refusal; else nothing."""
-    q, a = visible(q), visible(a)
-    if not q or not a or not any(c.isalnum() for c in a):
+    pair = pair or Pair(q, a, ends)
+    q, a = pair.q, pair.a
+    if not q or not holds_any(a):
         return []
-    asked, parts = Asked(q), clauses(a)
+    asked, parts, told = pair.asked, pair.parts, pair.told
     if not parts:
         return []
-    x = features(asked, a, parts, ends)
+    x = pair.features
     if x[:, 1].any():
         return _example(b"r", x, [1 if r[1] else (1 if r[2] else 0) for r in x])
     if x[:, 3].max() >= 0.5 or x[:, 6].any() or not (x[-1, 10] and x[-1, 14] == 0 or x[-1, 11:16].sum() == 0):
@@ -487,10 +547,10 @@ def examples(q: str | None, a: str | None, ends: EndModel) -> list[bytes]:
         broken, labels = a, [3, 3]
         asked = Asked(None)
         asked.language = "another"  # the answer as a question of another language would meet it
-    p = clauses(broken)
+    p = parts if broken is a else clauses(broken)
     if not p:
         return out
-    f = features(asked, broken, p, ends)
+    f = features(asked, broken, p, ends, told)
     if kind == 3 and not f[:, 6].all():
         return out
     return out + _example(b"b", f, [labels[0]] * (len(p) - 1) + [labels[1]])
@@ -540,14 +600,23 @@ def _summed(batches, add, size: int):
 
 
 def _words_in(counts: dict[str, list[int]], b: pa.RecordBatch) -> None:
-    for w, n in Counter(w for t in b.column(0).to_pylist() for w in words(fold(visible(t)))).items():
-        counts.setdefault(w, [0])[0] += n
+    for piece, n in Counter(p for t in b.column(0).to_pylist() for p in visible(t).split()).items():
+        for w in words(fold(piece)):
+            counts.setdefault(w, [0])[0] += n
 
 
 def _runs_in(ends: EndModel):
     def add(counts: dict[str, list[int]], b: pa.RecordBatch) -> None:
+        met: dict[str, int] = {}
+        ended: dict[str, int] = {}
         for t in b.column(0).to_pylist():
-            ends.count(visible(t), counts)
+            ends.count(visible(t), met, ended)
+        for g, n in met.items():
+            if (c := counts.get(g)) is None:
+                counts[g] = [n, ended.get(g, 0)]
+            else:
+                c[0] += n
+                c[1] += ended.get(g, 0)
 
     return add
 
@@ -567,13 +636,8 @@ def _sums(df: DataFrame, add, size: int, key: str = "string") -> DataFrame:
     return made.groupBy("key").agg(*(F.sum(c).alias(c) for c in columns))
 
 
-def judge_on(rows: DataFrame) -> PairJudge:
-    """Judge fitted on all rows.
-
-    Words and runs of tokens are counted over all different texts; those met in a share of the texts reach the driver.
-    Examples are taken of every row and reach it once each, with their number.
-    """
-    pairs = rows.select(F.col("q").cast("string").alias("q"), F.col("a").cast("string").alias("a"))
+def _ends_on(pairs: DataFrame) -> EndModel:
+    """Model of endings: words and runs of tokens counted over all different texts; those met in a share of them reach the driver."""
     texts = materialize(pairs.select(F.explode(F.array("q", "a")).alias("t")).where("t != ''").distinct(), "pair-texts")
     n = texts.count()
     seen = _sums(texts, _words_in, 1).where(F.col("c0") >= _WORD_LEAST * max(1, n / _PER)).collect()
@@ -582,17 +646,90 @@ def judge_on(rows: DataFrame) -> PairJudge:
     length = F.size(F.split("key", " "))
     ends.take(((r.key, r.c0, r.c1) for r in runs.where(F.col("c0") >= length * max(1, n / _PER)).collect()), n)
     discard(texts)
+    return ends
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("q").cast("string").alias("q"), F.col("a").cast("string").alias("a"))
+
+
+def judge_on(rows: DataFrame) -> PairJudge:
+    """Judge fitted on all rows: examples are taken of every row and reach the driver once each, with their number."""
+    pairs = _texts(rows)
+    ends = _ends_on(pairs)
     found = _sums(pairs, _examples_in(ends), 1, "binary").collect()
     return PairJudge(fit_field({bytes(r.key): r.c0 for r in found}), ends)
 
 
+_LOOKED = "line_no bigint, key binary, n bigint, sizes array<int>"
+
+
+def _look(ends: EndModel):
+    """Examples with their numbers n, and of the rows that may be defective, without n, the clauses' features and sizes."""
+
+    def run(batches):
+        counts: dict[bytes, int] = {}
+
+        def batch(lines, keys, n, sizes):
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((lines, keys, n, sizes), kinds)], names=["line_no", "key", "n", "sizes"])
+
+        def counted():
+            out = batch([None] * len(counts), list(counts), list(counts.values()), [None] * len(counts))
+            counts.clear()
+            return out
+
+        for b in batches:
+            lines, keys, sizes = [], [], []
+            for line, q, a in zip(*(c.to_pylist() for c in b.columns)):
+                if not holds_any(a):
+                    key, size = b"", []
+                else:
+                    pair = Pair(q, a, ends)
+                    for e in examples(q, a, ends, pair):
+                        counts[e] = counts.get(e, 0) + 1
+                    if not shows_sign(pair) or not pair.parts:
+                        continue
+                    key, size = (pair.features * _STEPS).astype(np.uint8).tobytes(), [max(1, len(p)) for p in pair.parts]
+                lines.append(line)
+                keys.append(key)
+                sizes.append(size)
+            yield batch(lines, keys, [None] * len(lines), sizes)
+            if len(counts) >= _HELD:
+                yield counted()
+        yield counted()
+
+    return run
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """(line_no, defect) by a judge fitted on all rows; each row is looked at once for both."""
+    ends = _ends_on(_texts(rows))
+    looked = materialize(rows.select(F.col("line_no").cast("bigint").alias("line_no"), F.col("q").cast("string"), F.col("a").cast("string")).mapInArrow(_look(ends), _LOOKED), "pair-clauses")
+    found = looked.where("n IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    judge = PairJudge(fit_field({bytes(r.key): r.n for r in found}), ends)
+
+    def run(batches):
+        for b in batches:
+            lines, defects = [], []
+            for line, key, sizes in zip(*(c.to_pylist() for c in b.columns)):
+                d = judge.decide(np.frombuffer(key, dtype=np.uint8).reshape(len(sizes), N_FEATURES) / _STEPS, sizes) if sizes else "empty"
+                if d:
+                    lines.append(line)
+                    defects.append(d)
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.int64()), pa.array(defects, pa.string())], names=["line_no", "defect"])
+
+    return looked.where("n IS NULL").select("line_no", "key", "sizes").mapInArrow(run, "line_no bigint, defect string")
+
+
 def find_defects(rows: DataFrame, judge: PairJudge | None = None) -> DataFrame:
     """(line_no, defect) of every defective row: empty, refusal, copied, other_language or truncated, in that order.
 
     A null or blank question can't be copied and has no language; a null answer is empty. Texts are read whole, repeated
     rows each count, and other columns aren't read.
     """
-    judge = judge or judge_on(rows)
+    if judge is None:
+        return _judged(rows)
 
     def run(batches):
         for b in batches:

@@ -551,3 +551,25 @@ def test_no_set_is_written_under_a_frequent_word_without_a_partner_in_reach():
     brute = {(a, b) for a, b in itertools.combinations(range(len(sets_)), 2) if near.alike(len(sets_[a] & sets_[b]), len(sets_[a]), len(sets_[b]))}
     assert got == want == brute and brute
     assert few_rows < all_rows
+
+
+def test_pairs_are_looked_at_once_with_the_same_verdicts(spark, monkeypatch):
+    qa = [(f"Pourquoi la boucle {i} de la station dérive-t-elle ?", f"La boucle {i} de la station sature en pointe. Le relevé suit.") for i in range(40)]
+    qa += [("Et le débit ?", "Je ne peux pas répondre à cette question."), ("Et le débit ?", None), ("Et le débit ?", "The data of the loop is late and it was not sent by the station."), qa[0][:1] * 2]
+    table = log(spark, qa)
+    judge = pairs.judge_on(table)
+    want = [(i, d) for i, (q, a) in enumerate(qa, 1) if (d := judge.defect(q, a))]
+    assert rows(pairs.find_defects(table)) == sorted(want, key=str) and len(want) >= 2
+    said = []
+    monkeypatch.setattr(pairs, "declines", lambda text, *of: bool(said.append(text)))
+    pair = pairs.Pair(*qa[0], judge.ends)
+    pairs.examples(*qa[0], judge.ends, pair)
+    assert pair.features is pair.features and len(said) == len(set(said))  # a clause that stands in the broken answer too is told once
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=40))
+def test_words_by_pieces(text):
+    text = pairs.visible(text)
+    assert pairs._words_of(text) == words(fold(text))
+    assert pairs._folded(text) == fold(text)
