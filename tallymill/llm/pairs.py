@@ -10,20 +10,23 @@ are one example with a weight, so that what the field is trained on is small.
 
 from __future__ import annotations
 
+import gc
 import re
 import unicodedata
 from collections import Counter, _count_elements
 from functools import cached_property
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.text import fold, words
-from tallymill.llm.sentences import sentence_ends
+from tallymill.llm.sentences import _LIST, _MACHINE, _QUOTED, _THAI, LONG, _closing, _opening, sentence_ends
 from tallymill.session import discard, materialize
 
 _PER = 10_000  # texts for which the counts of words and word runs that the model of endings needs are named
@@ -31,6 +34,7 @@ _WORD_LEAST = 8
 _WINDOW = 12  # clauses of an example; longer answers are several
 _STEPS = 8  # of the share of word pairs that a clause has in common with the question
 _HELD = 100_000  # counts that a task holds before it passes them on
+_ID_BITS = 21  # of a token's number, so that a run of three fits into 63
 LABELS = ("answer", "refusal", "echo", "foreign", "unfinished")
 
 # Function words that tell four languages apart.
@@ -79,10 +83,10 @@ _REFUSALS = (
     (("sort de ce que",), r"sort de ce que (?:j'ai|je)"),
     (("hors de mon ",), r"hors de mon (?:champ|domaine|périmètre)"),
     (("droit d'aborder", "n'ai pas le droit", "pas mon rôle", "m'abstiens"), r"droit d'aborder|n'ai pas le droit|pas mon rôle|m'abstiens"),
-    (("cannot", "can't", "can not", "won't", "able to"), r"cannot|can't|can not|won't|unable to|not able to"),
+    (("cannot", "can't", "can not", "won't", "unable to", "not able to"), r"cannot|can't|can not|won't|unable to|not able to"),
     (("not allowed", "not permitted", "not authori", "not comfortable", "rather not", "prefer not"), r"not allowed|not permitted|not authori[sz]ed|rather not|prefer not|not comfortable"),
     (("decline", "refuse to", "at liberty to", "no permission to"), r"must decline|have to decline|decline to|refuse to|at liberty to|no permission to"),
-    (("outside ",), r"outside (?:of )?what i"),
+    ((" what i",), r"outside (?:of )?what i"),
     (("no puedo", "no podemos", "no estoy autorizad", "no me es", "no tengo", "no me est"), r"no (?:puedo|podemos|estoy autorizad\w|me es posible|tengo permitido|me está permitido)|no tengo (?:permiso|autorización)"),
     (("prefiero no", "debo ", "me es imposible", "fuera de lo que"), r"prefiero no|debo (?:rechazar|declinar)|me es imposible|fuera de lo que"),
     (("no me corresponde", "declino", "me niego", "me abstengo", "no voy a "), r"no me corresponde|declino|me niego|me abstengo|no voy a (?:responder|contestar|hablar)"),
@@ -93,6 +97,8 @@ _REFUSALS = (
 )
 REFUSAL = re.compile("|".join(p for _, p in _REFUSALS), re.I)
 _REFUSED = tuple((tuple(map(fold, ws)), re.compile(p, re.I)) for ws, p in _REFUSALS)
+# Parts of such words that are met less often than their longest.
+_RAREST = {fold(e): c for e, c in ((" ne pas", " ne "), ("pas en mesure", "pas "), ("n'ai pas le droit", "n'ai "), ("hors de mon ", " mon "), ("pas mon rôle", " mon "), ("no me es", " me "), ("no me est", " me "), ("bien reçu", " reçu"))}
 _DECLINING = frozenset(
     words(fold("pas impossible refuse refuser décliner sort droit abstenir cannot can won unable able allowed permitted authorised authorized decline rather prefer comfortable outside "
     "no puedo podemos prefiero debo rechazar declinar declino imposible fuera corresponde nicht ablehnen außerhalb"))
@@ -108,14 +114,32 @@ _OPEN_END = re.compile(r"[,;:(\[{=«„“/]\s*$")
 _SIGNED = re.compile(r"(?:^|\n)\s*(?:cordialement|bien à vous|salutations|regards|sincerely|best|un saludo|saludos|atentamente|mit freundlichen|viele grüße|contact\s*:|nir\s*:|tél)", re.I)
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*['’]?|\d+|[^\w\s]")
 _CODE = re.compile(r"(?:[A-Za-z0-9]{2,5}-)+\d{2,4}\b|\b[A-Za-z]\d{1,4}\b|\w+_\w+\.\w+|\d+(?:[.,:/+]\d+)+")
+_CODED = re.compile(r"[\d_]")  # every match of _CODE has one
 _STOP = frozenset(".?!…")
-_KNOWN: dict[str, list[str]] = {}
+_MARKS = frozenset(",.;:")
 _CF = regex.compile(r"\p{Cf}+")
+# What makes the layout or the quotations of an answer matter to its units, or ends a unit without a blank.
+_LAID_OUT = re.compile("[\t\n\r\x0b\x0c\x85\u2028\u2029。！？｡．…।॥؟" + _QUOTED.pattern[1:-1] + _THAI.pattern[1:-1] + "]")
+_STOPPED = re.compile(r"[.!?]+[’']*(?=\s)")
+
+
+class _Known(dict):
+    """What `make` gives for a key, kept."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        out = self[key] = self.make(key)
+        return out
 
 
 def visible(text: str | None) -> str | None:
     """A text without invisible format characters, letters composed."""
-    return text if not text or text.isascii() else unicodedata.normalize("NFC", _CF.sub("", text))
+    if not text or text.isascii():
+        return text
+    return unicodedata.normalize("NFC", text if text.isprintable() else _CF.sub("", text))
 
 
 def _folded(text: str) -> str:
@@ -123,16 +147,48 @@ def _folded(text: str) -> str:
     return text.lower() if text.isascii() else unicodedata.normalize("NFKC", text).casefold()
 
 
+def _cores(entry: str) -> list[str]:
+    """Parts of a wording that lie between blanks, with the blanks that they have in it."""
+    parts = entry.split(" ")
+    return [f"{' ' * (i > 0)}{p}{' ' * (i < len(parts) - 1)}" for i, p in enumerate(parts) if p]
+
+
+# Of every wording of refusal and softening the part with most letters: a text that holds the wording has it in a piece.
+_CORES = tuple(sorted({_RAREST.get(e) or max(_cores(e), key=lambda c: len(c.strip())) for ws in (_SOFT, *(ws for ws, _ in _REFUSED)) for e in ws}))
+_SCENTS: dict[str, set[str]] = {}
+for _c in (*_CORES, *_MAY_ASK):
+    _SCENTS.setdefault(_c[0], set()).add(re.escape(_c[1:5]))
+_SCENT = re.compile("|".join(f"{re.escape(c)}(?:{'|'.join(sorted(rest))})" for c, rest in sorted(_SCENTS.items())))  # how one of them or a language's name begins
+_HOLDING: set[str] = set()  # pieces met that have one of them
+_NAMING: set[str] = set()  # pieces met that have a language's name
+
+
+def _piece(piece: str) -> tuple[str, ...]:
+    """words(fold()) of a piece of text without blanks, which is put into the sets it belongs to."""
+    folded = piece.lower() if piece.isascii() else fold(piece)
+    odd = "ı" in piece or "İ" in piece  # match i in a pattern and don't fold to it
+    if odd or _SCENT.search(padded := f" {folded} "):
+        if odd or any(map(padded.__contains__, _CORES)):
+            _HOLDING.add(piece)
+        if odd or any(map(padded.__contains__, _MAY_ASK)):
+            _NAMING.add(piece)
+    return (folded,) if folded.isalnum() else tuple(words(folded))
+
+
+_KNOWN = _Known(_piece)
+
+
+def _read(text: str) -> tuple[list[str], list[str]]:
+    """words(fold()) and blank-separated pieces of a text; no word spans a blank, so pieces that are met again are known."""
+    if len(_KNOWN) >= _HELD:
+        for known in (_KNOWN, _HOLDING, _NAMING):
+            known.clear()
+    pieces = text.split()
+    return list(chain.from_iterable(map(_KNOWN.__getitem__, pieces))), pieces
+
+
 def _words_of(text: str) -> list[str]:
-    """words(fold()) of a text; no word spans a blank, so pieces that are met again are known."""
-    out: list[str] = []
-    for piece in text.split():
-        if (ws := _KNOWN.get(piece)) is None:
-            if len(_KNOWN) >= _HELD:
-                _KNOWN.clear()
-            ws = _KNOWN[piece] = words(fold(piece))
-        out += ws
-    return out
+    return _read(text)[0]
 
 
 def _may_decline(folded: str, of: list | None = None) -> list:
@@ -160,9 +216,20 @@ def language(text: str, folded: list[str] | None = None) -> str | None:
             for name, pattern in _SCRIPTS:
                 if pattern.search(text):
                     return name
-    told = list(filter(None, map(_OF_LANGUAGE.get, folded if folded is not None else words(fold(text)))))
+    return _language_of(folded if folded is not None else words(fold(text)))
+
+
+def _language_of(folded: list[str]) -> str | None:
+    """Language by function words."""
+    return _most(list(filter(None, map(_OF_LANGUAGE.get, folded))))
+
+
+def _most(told: list[str]) -> str | None:
+    """The language that most function words are of, if they are twice those of any other."""
     if not told:
         return None
+    if told.count(told[0]) == len(told):
+        return told[0]
     ranked = sorted(((told.count(k), k) for k in set(told)), reverse=True)
     if len(ranked) > 1 and ranked[0][0] < 2 * ranked[1][0]:
         return None
@@ -223,14 +290,35 @@ class EndModel:
 
     def tokens(self, text: str) -> list[str]:
         mixed = not (text.isupper() or text.islower() or text.istitle())
-        told, out = self._told[mixed], []
-        for piece in text.split():  # no token spans a blank
-            if (tokens := told.get(piece)) is None:
-                if len(told) >= _HELD:
-                    told.clear()
-                tokens = told[piece] = [self._token(w, mixed) for w in _TOKEN.findall(_CODE.sub(" ¤ ", piece))]
-            out += tokens
-        return out
+        return [t for piece in text.split() for t in self._of_piece(piece, mixed)]  # no token spans a blank
+
+    def _of_piece(self, piece: str, mixed: bool) -> list[str]:
+        told = self._told[mixed]
+        if (tokens := told.get(piece)) is None:
+            if len(told) >= _HELD:
+                told.clear()
+            tokens = told[piece] = self._tokens(piece, mixed)
+        return tokens
+
+    def _tokens(self, piece: str, mixed: bool) -> list[str]:
+        if _CODED.search(piece):
+            piece = _CODE.sub(" ¤ ", piece)
+        return [self._token(w, mixed) for w in _TOKEN.findall(piece)]
+
+    def _last(self, text: str) -> list[str]:
+        """The last three tokens of a text before its closing stops, or more of them."""
+        mixed = not (text.isupper() or text.islower() or text.istitle())
+        body: list[str] = []
+        for piece in reversed(text.split()):
+            tokens = self._of_piece(piece, mixed)
+            if not body:
+                tokens = list(tokens)
+                while tokens and tokens[-1] in _STOP:
+                    tokens.pop()
+            body = [*tokens, *body]
+            if len(body) >= 3:
+                break
+        return body
 
     def _token(self, w: str, mixed: bool) -> str:
         low = w.casefold().replace("’", "'")
@@ -245,9 +333,7 @@ class EndModel:
         return ("^-" if "-" in w else "^") + low[-3:]
 
     def chance(self, text: str) -> float:
-        body = self.tokens(text[-120:])
-        while body and body[-1] in _STOP:
-            body.pop()
+        body = self._last(text[-120:])
         p = 0.02
         for n, weight in ((1, 1.0), (2, 3.0), (3, 6.0)):
             if len(body) < n:
@@ -260,10 +346,24 @@ class EndModel:
 N_FEATURES = 17
 
 
+def _unit_ends(text: str) -> list[int]:
+    """sentence_ends(); in one plain line without quotations all spans weigh the same, so every end that isn't a loss is taken."""
+    if len(text) >= LONG or not text[:1].isalpha() or _LAID_OUT.search(text) or _LIST.match(text) or _MACHINE.match(text):
+        return sentence_ends(text)
+    stop = len(text.rstrip())
+    out = []
+    for m in _STOPPED.finditer(text, 0, stop):
+        close = _closing(text, 0, m.start(), m.end(), stop)
+        if close > -20.0 and close + _opening(text, m.end(), stop) >= 0.0:
+            out.append(m.end())
+    out.append(stop)
+    return out
+
+
 def clauses(answer: str) -> list[str]:
     """Sentence units of an answer, parted further at semicolons."""
     out, a = [], 0
-    for e in sentence_ends(answer):
+    for e in _unit_ends(answer):
         unit = answer[a:e].strip()
         a = e
         if "; " in unit and ":" not in unit and "=" not in unit:
@@ -278,13 +378,12 @@ class Asked:
 
     def __init__(self, question: str | None):
         self.text = question or ""
-        folded = _folded(self.text)
-        self.words = _words_of(self.text)
+        self.words, pieces = _read(self.text)
+        named = not _NAMING.isdisjoint(pieces)
         self.known = frozenset(self.words)
         self._pairs: set[tuple[str, str]] | None = None
         self.language = language(self.text, self.words)
-        may = any(map(folded.__contains__, _MAY_ASK)) or "ı" in self.text or "İ" in self.text
-        self.wanted = {k for k, p in _ASKS if p.search(self.text)} if may else set()
+        self.wanted = {k for k, p in _ASKS if p.search(self.text)} if named else set()
 
     @property
     def pairs(self) -> set[tuple[str, str]]:
@@ -299,46 +398,77 @@ class Asked:
         return sum(map(self.pairs.__contains__, zip(ws, ws[1:]))) >= share * len(ws)
 
 
-def _clauses_told(folded: str, parts: list[str], told: dict) -> None:
-    """Adds to `told` what a clause says by itself: refusal, softening, word pairs, language, number of words."""
-    new = [part for part in parts if part not in told]
-    if len(new) > 1:  # what the whole doesn't hold no clause does
-        refusals, soft = _may_decline(folded), [w for w in _SOFT if w in folded]
-    for part in new:
-        f = _folded(part)
-        ws = _words_of(part)
-        of = (refusals, soft) if len(new) > 1 and f in folded else (None, _SOFT)
-        told[part] = (declines(part, f, of[0]), softens(part, f, of[1]), list(zip(ws, ws[1:])), language(part, ws), len(ws))
+class Answer:
+    """What an answer, as a visible text, says as a whole; no word goes over the border of two clauses."""
+
+    def __init__(self, text: str, parts: list[str], ends: EndModel, told: dict):
+        self.text = text
+        self.beyond = not text.isascii() and bool(_BEYOND_LATIN.search(text))
+        self.words: list[str] = []
+        self.holds = False  # else no wording of refusal or softening stands in it
+        of: list[str] = []
+        for part in parts:
+            if (said := told.get(part)) is None:
+                said = told[part] = self._clause(part)
+            self.words += said[3]
+            self.holds |= said[4]
+            of += said[5]
+        self.language = (language(text, self.words) if self.beyond else None) or _most(of)
+        self.stop = _stop(text, ends)
 
+    @cached_property
+    def folded(self) -> str:
+        return _folded(self.text)
 
-def features(asked: Asked, answer: str, parts: list[str], ends: EndModel, told: dict | None = None) -> np.ndarray:
-    """One row of features for each clause; `told` keeps what clauses and answers say by themselves. Texts are visible ones."""
+    @cached_property
+    def may_say(self) -> tuple[list, list[str]]:
+        """Patterns of refusal and softening words that can stand in it; what the whole doesn't hold no clause does."""
+        return _may_decline(self.folded), [w for w in _SOFT if w in self.folded]
+
+    def _clause(self, part: str) -> tuple:
+        """What a clause says by itself: refusal, softening, language, words, whether it may hold such wording, languages of its function words."""
+        ws, pieces = _read(part)
+        refusing = soft = False
+        if holds := not _HOLDING.isdisjoint(pieces):
+            f = _folded(part)
+            of = self.may_say if f in self.folded else (None, _SOFT)
+            refusing, soft = declines(part, f, of[0]), softens(part, f, of[1])
+        told = list(filter(None, map(_OF_LANGUAGE.get, ws)))
+        return refusing, soft, language(part, ws) if self.beyond else _most(told), ws, holds, told
+
+
+_UNSAID = bytes(8)
+_ROWS: dict[tuple, bytes] = {}  # features of a clause but its end's, by what they say
+
+
+def features(asked: Asked, answer: str, parts: list[str], ends: EndModel, told: dict | None = None) -> list[bytes]:
+    """Features of each clause in steps; `told` keeps what clauses and answers say by themselves. Texts are visible ones."""
     told = {} if told is None else told
-    if (told_whole := told.get((answer,))) is None:
-        folded = _folded(answer)
-        told_whole = told[(answer,)] = folded, language(answer, _words_of(answer))
-    folded, whole = told_whole
-    _clauses_told(folded, parts, told)
+    whole = _whole(answer, parts, ends, told)
     known, rows = asked.pairs, []
     for part in parts:
-        refusing, soft, pairs, lang, n = told[part]
-        row = [1.0, float(refusing), float(soft), *[0.0] * (N_FEATURES - 3)]
-        if pairs and known:
-            share = sum(map(known.__contains__, pairs)) / len(pairs)
-            row[3] = int(share * _STEPS) / _STEPS
-            row[4] = float(share >= 0.55)
-            row[5] = float(share >= 0.8)
-        lang = lang or whole
-        if lang and asked.language and lang != asked.language and lang not in asked.wanted:
-            row[6] = 1.0
-            row[7] = float(whole == lang)
-        row[8] = float(n <= 8)
-        rows.append(row)
-    rows[-1][9:] = _ending(answer, parts[-1], ends)
-    return np.array(rows)
-
-
-def _ending(answer: str, part: str, ends: EndModel) -> list[float]:
+        refusing, soft, lang, ws, *_ = told[part]
+        n, share = len(ws), 0.0
+        if known and n > 1:
+            share = sum(map(known.__contains__, compress(zip(ws, ws[1:]), map(asked.known.__contains__, ws)))) / (n - 1)
+        lang = lang or whole.language
+        other = bool(lang and asked.language and lang != asked.language and lang not in asked.wanted)
+        signs = (refusing, soft, share >= 0.55, share >= 0.8, other, other and whole.language == lang, n <= 8)
+        if (row := _ROWS.get((signs, steps := int(share * _STEPS)))) is None:
+            row = _ROWS[signs, steps] = bytes([int(v * _STEPS) for v in (1, *signs[:2])] + [steps] + [_STEPS * v for v in signs[2:]])
+        rows.append(row + _UNSAID)
+    rows[-1] = row + bytes([int(v * _STEPS) for v in _ending(whole.stop, parts[-1])])
+    return rows
+
+
+def _whole(answer: str, parts: list[str], ends: EndModel, told: dict) -> Answer:
+    if (whole := told.get((answer,))) is None:
+        whole = told[(answer,)] = Answer(answer, parts, ends, told)
+    return whole
+
+
+def _stop(answer: str, ends: EndModel) -> tuple:
+    """How an answer ends, whatever its last clause: text, full end, chance of an end, open bracket, list marker, open mark."""
     text = answer.strip()
     body = text.rstrip(_LOOSE)
     lost, tail = text[len(body) :], text[-40:]
@@ -347,14 +477,20 @@ def _ending(answer: str, part: str, ends: EndModel) -> list[float]:
     if not full and _SIGNED.search(text[-160:]):
         full = True
     if text[:1] in "{[":
-        return [1.0, 0.0, 0.0, 0.0, 0.0, float(text[-1:] not in "}]" and not text.rstrip("\"'»”").endswith(("}", "]"))), 0.0, 0.0]
+        return text, None, 0.0, False, False, False
     opened = text.count("(") > text.count(")") or text.count("[") > text.count("]") or text.count("«") > text.count("»") or text.count("„") > text.count("“")
     if text.count('"') % 2 and not text.startswith('"') and not text.endswith('"'):
         opened = True
     listed = len(text) > 12 and bool(_LIST_END.search(tail[-8:]))
     dangling = not full and bool(_OPEN_END.search(body[-6:]))
-    p = 1.0 if full else ends.chance(body)
-    fielded = (":" in text or "=" in text) and (len(re.findall(r"[:=]", part)) >= 3 or len(re.findall(r"\w\s?[:=] ", text)) >= 4)
+    return text, full, 1.0 if full else ends.chance(body), opened, listed, dangling
+
+
+def _ending(stop: tuple, part: str) -> list[float]:
+    text, full, p, opened, listed, dangling = stop
+    if full is None:  # begins as a record
+        return [1.0, 0.0, 0.0, 0.0, 0.0, float(text[-1:] not in "}]" and not text.rstrip("\"'»”").endswith(("}", "]"))), 0.0, 0.0]
+    fielded = (":" in text or "=" in text) and (part.count(":") + part.count("=") >= 3 or len(re.findall(r"\w\s?[:=] ", text)) >= 4)
     if fielded and not listed and not dangling and not opened:
         p = max(p, 0.3)
     return [1.0, float(full), float(p < 0.004), float(0.004 <= p < 0.02), float(0.02 <= p < 0.06), float(opened), float(listed or dangling), float(fielded)]
@@ -375,7 +511,11 @@ class Pair:
         return clauses(self.a)
 
     @cached_property
-    def features(self) -> np.ndarray:
+    def whole(self) -> Answer:
+        return _whole(self.a, self.parts, self.ends, self.told)
+
+    @cached_property
+    def features(self) -> list[bytes]:
         return features(self.asked, self.a, self.parts, self.ends, self.told)
 
 
@@ -450,15 +590,13 @@ def holds_any(answer: str | None) -> bool:
 
 def shows_sign(pair: Pair) -> bool:
     """Whether an answer that isn't empty shows a sign of any label but answer."""
-    a, asked = pair.a, pair.asked
-    folded, ws = _folded(a), _words_of(a)
-    lang = language(a, ws)
+    whole, asked = pair.whole, pair.asked
     return bool(
-        (asked.language and lang and lang != asked.language)
-        or not _DECLINING.isdisjoint(ws)
-        or declines(a, folded)
-        or asked.repeats(ws, 0.3)
-        or any(_ending(a, a[-80:], pair.ends)[2:7])
+        (asked.language and whole.language and whole.language != asked.language)
+        or not _DECLINING.isdisjoint(whole.words)
+        or whole.holds and declines(whole.text, whole.folded)
+        or asked.repeats(whole.words, 0.3)
+        or any(_ending(whole.stop, whole.text[-80:])[2:7])
     )
 
 
@@ -475,7 +613,7 @@ class PairJudge:
         pair = Pair(q, a, self.ends)
         if not (every or shows_sign(pair)) or not pair.parts:
             return None  # no clause can carry another label far enough to decide the pair
-        return self.decide(pair.features, [max(1, len(p)) for p in pair.parts])
+        return self.decide(_matrix(b"".join(pair.features)), [max(1, len(p)) for p in pair.parts])
 
     def decide(self, x: np.ndarray, sizes: list[int]) -> str | None:
         """Defect or None, from the features and sizes of an answer's clauses."""
@@ -495,12 +633,19 @@ class PairJudge:
         return "truncated" if tags[-1] == 4 else None
 
 
-def _example(kind: bytes, x: np.ndarray, labels: list[int]) -> list[bytes]:
-    """An example's kind, labels and features as bytes, in windows of bounded length from the end."""
+def _matrix(key: bytes) -> np.ndarray:
+    """Features of clauses from their steps."""
+    return np.frombuffer(key, dtype=np.uint8).reshape(-1, N_FEATURES) / _STEPS
+
+
+def _example(kind: bytes, x: list[bytes] | np.ndarray, labels: list[int]) -> list[bytes]:
+    """An example's kind, labels and features (steps, or as numbers) as bytes, in windows of bounded length from the end."""
+    if isinstance(x, np.ndarray):
+        x = [row.tobytes() for row in (x * _STEPS).astype(np.uint8)]
     out, stop = [], len(labels)
     while stop > 0:
         a = max(0, stop - _WINDOW)
-        out.append(kind + bytes([stop - a, *labels[a:stop]]) + (x[a:stop] * _STEPS).astype(np.uint8).tobytes())
+        out.append(kind + bytes([stop - a, *labels[a:stop]]) + b"".join(x[a:stop]))
         stop = a
     return out
 
@@ -515,9 +660,10 @@ def examples(q: str | None, a: str | None, ends: EndModel, pair: Pair | None = N
     if not parts:
         return []
     x = pair.features
-    if x[:, 1].any():
+    if any(r[1] for r in x):
         return _example(b"r", x, [1 if r[1] else (1 if r[2] else 0) for r in x])
-    if x[:, 3].max() >= 0.5 or x[:, 6].any() or not (x[-1, 10] and x[-1, 14] == 0 or x[-1, 11:16].sum() == 0):
+    end = x[-1]
+    if any(r[3] >= _STEPS // 2 or r[6] for r in x) or not (end[10] and not end[14] or not any(end[11:16])):
         return []
     out = _example(b"c", x, [0] * len(x))
     draw = xxhash.xxh64_intdigest(f"{q}\x1f{a}".encode("utf-8", "surrogatepass"))  # what is broken and where hangs on the texts alone
@@ -551,7 +697,7 @@ def examples(q: str | None, a: str | None, ends: EndModel, pair: Pair | None = N
     if not p:
         return out
     f = features(asked, broken, p, ends, told)
-    if kind == 3 and not f[:, 6].all():
+    if kind == 3 and not all(r[6] for r in f):
         return out
     return out + _example(b"b", f, [labels[0]] * (len(p) - 1) + [labels[1]])
 
@@ -563,8 +709,7 @@ def fit_field(counts: dict[bytes, int]) -> Field:
     data = []
     for e, n in sorted(counts.items()):
         size = e[1]
-        x = np.frombuffer(e, dtype=np.uint8, offset=2 + size).reshape(size, N_FEATURES) / _STEPS
-        data.append((x, list(e[2 : 2 + size]), n * (more if e[:1] == b"r" else 1.0)))
+        data.append((_matrix(e[2 + size :]), list(e[2 : 2 + size]), n * (more if e[:1] == b"r" else 1.0)))
     for kind, label, on in ((b"r", 1, [0, 1, 8, 9, 10]), (b"c", 0, [0, 9, 10])):
         if not total[kind]:  # a table without such pairs still needs the label's meaning
             f = np.zeros((1, N_FEATURES))
@@ -599,26 +744,164 @@ def _summed(batches, add, size: int):
         yield rows()
 
 
-def _words_in(counts: dict[str, list[int]], b: pa.RecordBatch) -> None:
-    for piece, n in Counter(p for t in b.column(0).to_pylist() for p in visible(t).split()).items():
-        for w in words(fold(piece)):
-            counts.setdefault(w, [0])[0] += n
+def _strings(column: pa.Array) -> list[str | None]:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
-def _runs_in(ends: EndModel):
-    def add(counts: dict[str, list[int]], b: pa.RecordBatch) -> None:
-        met: dict[str, int] = {}
-        ended: dict[str, int] = {}
-        for t in b.column(0).to_pylist():
-            ends.count(visible(t), met, ended)
-        for g, n in met.items():
-            if (c := counts.get(g)) is None:
-                counts[g] = [n, ended.get(g, 0)]
-            else:
-                c[0] += n
-                c[1] += ended.get(g, 0)
+def _counted_words(batches):
+    """(key, c0) counts of words but numbers; pieces between blanks are counted first, and those met equally seldom taken apart at once."""
+    counts: dict[str, int] = {}
+    known = _Known(lambda piece: words(fold(piece)))
 
-    return add
+    def rows():
+        keys = [w for w in counts if not w.isdigit()]
+        out = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([counts[w] for w in keys], pa.int64())], names=["key", "c0"])
+        counts.clear()
+        return out
+
+    for b in batches:
+        for part in _slices(b.column(0), 50 * _HELD):
+            met = pc.value_counts(pc.utf8_split_whitespace(part).flatten())
+            pieces, times = met.field(0), met.field(1).to_numpy()
+            for n in range(1, 6):
+                ws = words(fold(" ".join(_strings(pieces.filter(pa.array(times == n))))))
+                if n == 1:
+                    _count_elements(counts, ws)
+                else:
+                    for w, k in Counter(ws).items():
+                        counts[w] = counts.get(w, 0) + n * k
+            often = times > 5
+            for piece, n in zip(_strings(pieces.filter(pa.array(often))), times[often].tolist()):
+                for w in known[piece]:
+                    counts[w] = counts.get(w, 0) + n
+            if len(known) >= _HELD:
+                known.clear()
+            if len(counts) >= _HELD:
+                yield rows()
+    yield rows()
+
+
+def _slices(texts: pa.Array, most: int):
+    """Parts of a column of texts that have at most so many bytes, or one text."""
+    stops = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(stops, (stops[a - 1] if a else 0) + most, side="right")))
+        yield texts.slice(a, b - a)
+        a = b
+
+
+def _run_rows(keys, met, ended) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(met, pa.int64()), pa.array(ended, pa.int64())], names=["key", "c0", "c1"])
+
+
+class _Runs:
+    """Counts of runs of up to three tokens, as EndModel.count() gives them, over numbers of tokens."""
+
+    def __init__(self, ends: EndModel):
+        self.ends = ends
+        self.clear()
+
+    def clear(self) -> None:
+        self.names = ["", "…", ".", "?", "!"]  # the end of a text, and stops
+        self.ids = {w: i for i, w in enumerate(self.names)}
+        self.told = [_Known(lambda piece, mixed=mixed: self._numbers(piece, mixed)) for mixed in (False, True)]
+        self.sums = [np.zeros((3, 0), dtype=np.int64) for _ in range(3)]  # of each length: runs, times met, times at an end
+
+    def _numbers(self, piece: str, mixed: bool) -> tuple[int, ...]:
+        out = []
+        stem, mark = (piece[:-1], piece[-1]) if piece[-1:] in _MARKS else (piece, "")
+        if stem.isascii() and stem.replace("-", "").isalpha() and "--" not in stem and stem[0] != "-" != stem[-1]:  # one word
+            tokens = [self.ends._token(stem, mixed), mark] if mark else [self.ends._token(stem, mixed)]
+        else:
+            tokens = self.ends._tokens(visible(piece).replace("...", "…"), mixed)  # three dots end no sentence: cut texts have them
+        for w in tokens:
+            if (i := self.ids.get(w)) is None:
+                i = self.ids[w] = len(self.names)
+                self.names.append(w)
+            out.append(i)
+        return tuple(out)
+
+    def _tokens(self, texts: pa.Array) -> np.ndarray:
+        """Numbers of the tokens of texts, each text with its end behind it; two ends stand before them."""
+        mixed = np.array([not (t.isupper() or t.islower() or t.istitle()) for t in map(visible, _strings(texts))], dtype=np.int64)
+        split = pc.utf8_split_whitespace(texts)
+        n = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        pieces = split.flatten().dictionary_encode()
+        alike = pc.replace_substring_regex(pieces.dictionary, "[0-9]", "0").dictionary_encode()  # which digits a number has makes no other token
+        met = alike.indices.to_numpy().astype(np.int64)[pieces.indices.to_numpy()] * 2 + np.repeat(mixed, n)
+        met = np.insert(met, np.cumsum(n), -1)
+        pieces = _strings(alike.dictionary)
+        kinds = np.flatnonzero(np.bincount(met[met >= 0], minlength=2 * len(pieces)))
+        numbers = [self.told[k & 1][pieces[k >> 1]] for k in kinds.tolist()]
+        flat = np.array([0, *chain.from_iterable(numbers)], dtype=np.int64)
+        size, start = np.zeros((2, 2 * len(pieces) + 1), dtype=np.int64)
+        size[kinds] = list(map(len, numbers))
+        start[kinds] = 1 + np.cumsum(size[kinds]) - size[kinds]
+        size[-1] = 1  # the end of a text
+        size = size[met]
+        at = np.arange(size.sum()) + np.repeat(start[met] - (np.cumsum(size) - size), size)
+        for told in self.told:
+            if len(told) >= _HELD:
+                told.clear()
+        return np.concatenate([[0, 0], flat[at]])
+
+    def add(self, texts: pa.Array) -> None:
+        t = self._tokens(texts)
+        inside = t >= 5
+        ending = np.zeros(len(t), dtype=bool)
+        ending[2:-1] = inside[:-3] & inside[1:-2] & inside[2:-1] & (t[3:] >= 2) & ~inside[3:]  # the last of three before a stop
+        run, whole = t, inside
+        for k in range(3):
+            if k:
+                run = run[:-1] << _ID_BITS | t[k:]
+                whole = whole[:-1] & inside[k:]
+            keys, met = np.unique(run[whole], return_counts=True)
+            closing, times = np.unique(run[ending[k:]], return_counts=True)
+            ended = np.zeros_like(met)
+            ended[np.searchsorted(keys, closing)] = times
+            self.sums[k] = self._merged(self.sums[k], np.stack([keys, met, ended]))
+
+    @staticmethod
+    def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        both = np.concatenate([a, b], axis=1)
+        both = both[:, np.argsort(both[0], kind="stable")]
+        first = np.flatnonzero(np.diff(both[0], prepend=-1))
+        return np.stack([both[0][first], *(np.add.reduceat(x, first) for x in both[1:])]) if len(first) else both
+
+    def full(self) -> bool:
+        return max(len(self.names), sum(s.shape[1] for s in self.sums)) >= 4 * _HELD
+
+    def rows(self) -> pa.RecordBatch:
+        names, low = self.names, (1 << _ID_BITS) - 1
+        keys = []
+        for k, s in enumerate(self.sums):
+            parts = [[names[i] for i in (s[0] >> _ID_BITS * (k - j) & low).tolist()] for j in range(k + 1)]
+            keys += map(" ".join, zip(*parts))
+        met, ended = np.concatenate(self.sums, axis=1)[1:]
+        self.clear()
+        return _run_rows(keys, met, ended)
+
+
+def _counted_runs(ends: EndModel):
+    """(key, c0, c1): how often each run of tokens is met, and ends a sentence."""
+
+    def run(batches):
+        runs = _Runs(ends)
+        for b in batches:
+            for texts in _slices(b.column(0), 15 * _HELD):
+                if texts.nbytes > 16 * _HELD and len(texts) == 1:  # may have more tokens than there are numbers left
+                    met: dict[str, int] = {}
+                    ended: dict[str, int] = {}
+                    ends.count(visible(texts[0].as_py()), met, ended)
+                    yield _run_rows(list(met), list(met.values()), [ended.get(g, 0) for g in met])
+                    continue
+                runs.add(texts)
+                if runs.full():
+                    yield runs.rows()
+        yield runs.rows()
+
+    return run
 
 
 def _examples_in(ends: EndModel):
@@ -630,9 +913,9 @@ def _examples_in(ends: EndModel):
     return add
 
 
-def _sums(df: DataFrame, add, size: int, key: str = "string") -> DataFrame:
+def _sums(df: DataFrame, counted, size: int, key: str = "string") -> DataFrame:
     columns = [f"c{i}" for i in range(size)]
-    made = df.mapInArrow(lambda batches: _summed(batches, add, size), f"key {key}, " + ", ".join(f"{c} bigint" for c in columns))
+    made = df.mapInArrow(counted, f"key {key}, " + ", ".join(f"{c} bigint" for c in columns))
     return made.groupBy("key").agg(*(F.sum(c).alias(c) for c in columns))
 
 
@@ -640,9 +923,9 @@ def _ends_on(pairs: DataFrame) -> EndModel:
     """Model of endings: words and runs of tokens counted over all different texts; those met in a share of them reach the driver."""
     texts = materialize(pairs.select(F.explode(F.array("q", "a")).alias("t")).where("t != ''").distinct(), "pair-texts")
     n = texts.count()
-    seen = _sums(texts, _words_in, 1).where(F.col("c0") >= _WORD_LEAST * max(1, n / _PER)).collect()
+    seen = _sums(texts, _counted_words, 1).where(F.col("c0") >= _WORD_LEAST * max(1, n / _PER)).collect()
     ends = EndModel(vocabulary=common_words({r.key: r.c0 for r in seen}, n))
-    runs = _sums(texts, _runs_in(ends), 2)
+    runs = _sums(texts, _counted_runs(ends), 2)
     length = F.size(F.split("key", " "))
     ends.take(((r.key, r.c0, r.c1) for r in runs.where(F.col("c0") >= length * max(1, n / _PER)).collect()), n)
     discard(texts)
@@ -657,7 +940,7 @@ def judge_on(rows: DataFrame) -> PairJudge:
     """Judge fitted on all rows: examples are taken of every row and reach the driver once each, with their number."""
     pairs = _texts(rows)
     ends = _ends_on(pairs)
-    found = _sums(pairs, _examples_in(ends), 1, "binary").collect()
+    found = _sums(pairs, lambda batches: _summed(batches, _examples_in(ends), 1), 1, "binary").collect()
     return PairJudge(fit_field({bytes(r.key): r.c0 for r in found}), ends)
 
 
@@ -679,9 +962,9 @@ def _look(ends: EndModel):
             counts.clear()
             return out
 
-        for b in batches:
+        def look(b):
             lines, keys, sizes = [], [], []
-            for line, q, a in zip(*(c.to_pylist() for c in b.columns)):
+            for line, q, a in zip(b.column(0).to_pylist(), _strings(b.column(1)), _strings(b.column(2))):
                 if not holds_any(a):
                     key, size = b"", []
                 else:
@@ -690,11 +973,21 @@ def _look(ends: EndModel):
                         counts[e] = counts.get(e, 0) + 1
                     if not shows_sign(pair) or not pair.parts:
                         continue
-                    key, size = (pair.features * _STEPS).astype(np.uint8).tobytes(), [max(1, len(p)) for p in pair.parts]
+                    key, size = b"".join(pair.features), [max(1, len(p)) for p in pair.parts]
                 lines.append(line)
                 keys.append(key)
                 sizes.append(size)
-            yield batch(lines, keys, [None] * len(lines), sizes)
+            return batch(lines, keys, [None] * len(lines), sizes)
+
+        for b in batches:
+            pausing = gc.isenabled()
+            gc.disable()  # nothing that is made of a row refers to itself
+            try:
+                out = look(b)
+            finally:
+                if pausing:
+                    gc.enable()
+            yield out
             if len(counts) >= _HELD:
                 yield counted()
         yield counted()
@@ -713,7 +1006,7 @@ def _judged(rows: DataFrame) -> DataFrame:
         for b in batches:
             lines, defects = [], []
             for line, key, sizes in zip(*(c.to_pylist() for c in b.columns)):
-                d = judge.decide(np.frombuffer(key, dtype=np.uint8).reshape(len(sizes), N_FEATURES) / _STEPS, sizes) if sizes else "empty"
+                d = judge.decide(_matrix(key), sizes) if sizes else "empty"
                 if d:
                     lines.append(line)
                     defects.append(d)

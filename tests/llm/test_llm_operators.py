@@ -573,3 +573,62 @@ def test_words_by_pieces(text):
     text = pairs.visible(text)
     assert pairs._words_of(text) == words(fold(text))
     assert pairs._folded(text) == fold(text)
+
+
+def test_runs_of_tokens_by_numbers(monkeypatch):
+    rng = random.Random(5)
+    odd = ["e.g.", "A.B", "..", "...", "…", "fin…", "Où?!", "l'eau", "STC-E12-3467", "a_b.csv", "٣٤", "ﬁn", "x​...", "co­de", " ", " ", "Élan-Vital,", "-ab-", "12,5", "12345678", "ǅ", "ı.", ":", ""]
+    texts = [" ".join(rng.choice(odd + ["la", "Boucle", "du", "pont."] * 6) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    texts += ["LE DÉBIT 12 EST BAS.", "le débit 13 est bas.", "Le Débit 14 Est Bas.", "\n la boucle\tsuit ? oui \x1f non. "]
+    ends = pairs.EndModel(vocabulary=frozenset({"la", "boucle", "du", "pont", "eau", "co"}))
+    met, ended, seen = {}, {}, {}
+    for t in texts:
+        ends.count(pairs.visible(t), met, ended)
+        for w in words(fold(t)):
+            seen[w] = seen.get(w, 0) + 1
+    batches = [pairs.pa.RecordBatch.from_arrays([pairs.pa.array(texts[a : a + 150])], names=["t"]) for a in range(0, len(texts), 150)]
+    for held in (100_000, 20):  # 20: passed on often, and the longer texts counted alone
+        monkeypatch.setattr(pairs, "_HELD", held)
+        got, told = {}, {}
+        for b in pairs._counted_runs(ends)(batches):
+            for g, n, e in zip(*(c.to_pylist() for c in b.columns)):
+                got[g] = got.get(g, 0) + n
+                told[g] = told.get(g, 0) + e
+        assert got == met and {g: e for g, e in told.items() if e} == ended
+        found = {}
+        for b in pairs._counted_words(batches):
+            for w, n in zip(*(c.to_pylist() for c in b.columns)):
+                found[w] = found.get(w, 0) + n
+        assert found == {w: n for w, n in seen.items() if not w.isdigit()}
+    monkeypatch.setattr(pairs, "_HELD", 100_000)
+    made = []
+    monkeypatch.setattr(pairs.EndModel, "_token", lambda self, w, mixed: made.append(w) or w)
+    list(pairs._counted_runs(ends)([pairs.pa.RecordBatch.from_arrays([pairs.pa.array([f"Le {i} {k}." for i in range(10, 99) for k in range(100, 140)])], names=["t"])]))
+    assert len(made) < 10  # numbers that differ in their digits alone are told once
+
+
+PIECES = st.sampled_from(["La", "boucle", "pont.", "pont", "etc.", "M.", "7.", "Mai", "a)", "- b", "A.", "b;", "fin!", "Où?!", "'", "’", ".'", '"', "«", "»", "(", ")", "…", "...", "。", "終。次", "กข", "\n", "\t", "INFO", "SELECT", "é.", "№", "①", "é", "iOS", "¿Qué", "—", "3", "12.", "E.ON", "̸", "´", "゙", " ", "ı", "pas", "Mon"])
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.tuples(PIECES, st.sampled_from([" ", " ", " ", "", "  "])), max_size=14))
+def test_units_of_a_plain_line_and_their_words(pieces):
+    text = pairs.visible("".join(p + blank for p, blank in pieces))
+    assert pairs._unit_ends(text) == sentences.sentence_ends(text)
+    assert [w for p in pairs.clauses(text) for w in words(fold(p))] == words(fold(text))
+
+
+def test_a_plain_answer_is_cut_without_spans(monkeypatch):
+    monkeypatch.setattr(pairs, "sentence_ends", None)
+    assert pairs.clauses("La boucle sature vers 10.30 avec M. Okafor. Le relevé suit; il est lu. ") == ["La boucle sature vers 10.30 avec M. Okafor.", "Le relevé suit", "il est lu."]
+
+
+@pytest.mark.parametrize("answer", [*REFUSALS.replace("\n", "|").split("|"), "NO ME ESTÁ PERMİTIDO", "I am not permıtted", "Bien reçu", "merci de votre appel", "Désolé", "Es tut mir leid", "ha llegado", "lo siento", "it was received"])
+def test_wording_is_held_by_a_piece(answer):
+    for text in (answer, f"La boucle suit. {answer}, dit-on.", answer.replace(" ", " ")):
+        text = pairs.visible(text)
+        ws, pieces = pairs._read(text)
+        assert ws == words(fold(text))
+        if pairs.REFUSAL.search(text) or pairs.SOFTENER.search(text):
+            assert not pairs._HOLDING.isdisjoint(pieces)
+    assert pairs._HOLDING.isdisjoint(pairs._read("La table dépasse la mesure, hors vacances, à droite du passage.")[1])
