@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.text import fold, words
-from tallymill.llm.sentences import _LIST, _MACHINE, _QUOTED, _THAI, LONG, _closing, _opening, sentence_ends
+from tallymill.llm.sentences import _LIST, _MACHINE, _QUOTED, _THAI, BOUND_ABBREVIATIONS, FINAL_ABBREVIATIONS, LONG, _closing, _opening, sentence_ends
 from tallymill.session import discard, materialize
 
 _PER = 10_000  # texts for which the counts of words and word runs that the model of endings needs are named
@@ -120,6 +120,7 @@ _MARKS = frozenset(",.;:")
 _CF = regex.compile(r"\p{Cf}+")
 # What makes the layout or the quotations of an answer matter to its units, or ends a unit without a blank.
 _LAID_OUT = re.compile("[\t\n\r\x0b\x0c\x85\u2028\u2029。！？｡．…।॥؟" + _QUOTED.pattern[1:-1] + _THAI.pattern[1:-1] + "]")
+_LONGER = 1 + max(map(len, BOUND_ABBREVIATIONS | FINAL_ABBREVIATIONS))
 _STOPPED = re.compile(r"[.!?]+[’']*(?=\s)")
 
 
@@ -353,6 +354,10 @@ def _unit_ends(text: str) -> list[int]:
     stop = len(text.rstrip())
     out = []
     for m in _STOPPED.finditer(text, 0, stop):
+        at, end = m.span()
+        if m[0] == "." and at >= _LONGER and text[at - _LONGER : at].isalpha() and text[end + 1 : end + 2].isupper():
+            out.append(end)  # a word that no abbreviation is as long as, and a capital
+            continue
         close = _closing(text, 0, m.start(), m.end(), stop)
         if close > -20.0 and close + _opening(text, m.end(), stop) >= 0.0:
             out.append(m.end())
@@ -403,7 +408,7 @@ class Answer:
 
     def __init__(self, text: str, parts: list[str], ends: EndModel, told: dict):
         self.text = text
-        self.beyond = not text.isascii() and bool(_BEYOND_LATIN.search(text))
+        self.beyond = not text.isascii() and bool(_BEYOND_LATIN.search(text) and _OTHER_SCRIPT.search(text))
         self.words: list[str] = []
         self.holds = False  # else no wording of refusal or softening stands in it
         of: list[str] = []
@@ -536,6 +541,7 @@ class Field:
         times = np.array([weight for *_, weight in data])[:, None, None]
         for i, (f, labels, _) in enumerate(data):
             x[i, : len(labels)], y[i, : len(labels)], mask[i, : len(labels)] = f, labels, True
+        live = [np.flatnonzero(m) for m in mask.T]  # examples that are so long
         gold = np.eye(k)[y] * mask[..., None] * times
         both = mask[:, :-1] & mask[:, 1:]
         gold_t = np.einsum("nti,ntj->ij", gold[:, :-1] * both[..., None], gold[:, 1:] / times)
@@ -551,12 +557,12 @@ class Field:
             alpha, beta = np.zeros_like(e), np.zeros_like(e)
             alpha[:, 0] = e[:, 0]
             for i in range(1, size):
-                step = e[:, i] + lse(alpha[:, i - 1, :, None] + t, 1)
-                alpha[:, i] = np.where(mask[:, i, None], step, alpha[:, i - 1])
+                alpha[:, i] = alpha[:, i - 1]
+                alpha[live[i], i] = e[live[i], i] + lse(alpha[live[i], i - 1, :, None] + t, 1)
             z = lse(alpha[:, -1], 1)
             for i in range(size - 2, -1, -1):
-                step = lse(t[None] + (e[:, i + 1] + beta[:, i + 1])[:, None, :], 2)
-                beta[:, i] = np.where(mask[:, i + 1, None], step, 0.0)
+                after = live[i + 1]
+                beta[after, i] = lse(t[None] + (e[after, i + 1] + beta[after, i + 1])[:, None, :], 2)
             p = np.exp(np.clip(alpha + beta - z[:, None, None], -50, 0)) * mask[..., None] * times
             pair = alpha[:, :-1, :, None] + t + (e[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]
             pt = (np.exp(np.clip(pair, -50, 0)) * (both[..., None] * times)[..., None]).sum(axis=(0, 1))
